@@ -47,6 +47,16 @@ def feature_id(token: Column, buckets: int = 1000) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(token), 1, 6), 16, 10).cast("bigint"), F.lit(buckets))
 
 
+def nonempty(col_name: str) -> Column:
+    """Filter that follows an outer generator (``explode_outer`` & co.).
+
+    Outer generators are used on computed arrays on purpose: for a plain ``explode``
+    Catalyst infers ``size(array) > 0`` and pushes it, with the whole array expression
+    substituted, below shuffles down to the scan, evaluating e.g. the tokeniser twice
+    (and, on a single-split input, the first time in one task)."""
+    return F.col(col_name).isNotNull()
+
+
 def snippet(text: Column, width: int = 80) -> Column:
     """First line of a text, cut to ``width`` characters with ``...`` when longer."""
     first = F.substring_index(text, "\n", 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import first_distinct
+from tessera.functions.text import first_distinct, nonempty
 from tessera.operators.words import from_stripes, to_stripes
 
 WINDOW = 40  # first tokens of a line that take part (fixed by the studied jobs)
@@ -23,40 +23,77 @@ def line_words(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def line_frequency(words: DataFrame) -> DataFrame:
     """A5: number of lines each word occurs in -> (word, n_lines)."""
-    return (words.select(F.explode("words").alias("word"))
+    return (words.select(F.explode_outer("words").alias("word")).where(nonempty("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n_lines")))
 
 
 def pair_rows(words: DataFrame) -> DataFrame:
     """Every ordered pair (x, y) of different words of one line."""
-    return (words.where(F.size("words") > 1)
-            .select(F.explode("words").alias("x"), "words")
-            .select("x", F.explode(F.filter("words", lambda w: w != F.col("x"))).alias("y")))
+    u = unordered_pair_rows(words)
+    return u.unionByName(u.select(F.col("y").alias("x"), F.col("x").alias("y")))
+
+
+def unordered_pair_rows(words: DataFrame) -> DataFrame:
+    """J6, each unordered pair once as (x, y) with x < y: two ``posexplode`` of the same
+    (distinct) word array, positions i < j, inside the row."""
+    a = words.select(F.posexplode_outer("words").alias("i", "a"), "words").where(nonempty("a"))
+    b = a.select("i", "a", F.posexplode_outer("words").alias("j", "b")).where(F.col("i") < F.col("j"))
+    return b.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+
+
+def _mirror(df: DataFrame) -> DataFrame:
+    """Both orientations of symmetric pair rows (x < y) -> (x, y, ...) and (y, x, ...)."""
+    rest = [c for c in df.columns if c not in ("x", "y")]
+    return df.unionByName(df.select(F.col("y").alias("x"), F.col("x").alias("y"), *rest))
 
 
 def pair_count(words: DataFrame) -> DataFrame:
-    """Lines in which both words of a pair occur -> (x, y, n)."""
-    return pair_rows(words).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    """Lines in which both words of a pair occur -> (x, y, n), both orientations.
+
+    ``n(x, y) = n(y, x)``, so each unordered pair is counted once and mirrored after
+    the aggregation: half the rows shuffled and aggregated."""
+    u = unordered_pair_rows(words).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    return _mirror(u)
 
 
 def pmi_pairs(words: DataFrame, threshold: int = 1) -> DataFrame:
     """PMI ``log10(n(x,y) * N / (n(x) * n(y)))`` of pairs seen in at least
     ``threshold`` lines; ``N`` counts every line, blank ones too -> (x, y, pmi, n).
 
-    ``N`` is a scalar subquery, not a cross join; the word totals are joined (AQE
-    picks broadcast or shuffle from their real size: the vocabulary grows with the
-    corpus, so nothing is forced).
+    PMI is symmetric: it is computed once per unordered pair and mirrored. ``N`` is a
+    scalar subquery, not a cross join; the word totals are joined (AQE picks broadcast
+    or shuffle from their real size: the vocabulary grows with the corpus, so nothing
+    is forced).
     """
     n_lines = words.select(F.count(F.lit(1)).cast("double")).scalar()
     lf = line_frequency(words)
-    pairs = pair_count(words).where(F.col("n") >= threshold)
+    pairs = (unordered_pair_rows(prune_rare(words, lf, threshold))
+             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= threshold))
     fx = lf.select(F.col("word").alias("x"), F.col("n_lines").alias("n_x"))
     fy = lf.select(F.col("word").alias("y"), F.col("n_lines").alias("n_y"))
-    return (pairs.join(fx, "x").join(fy, "y")
-            .select("x", "y",
-                    F.log10(F.col("n").cast("double") * n_lines
-                            / (F.col("n_x").cast("double") * F.col("n_y").cast("double"))).alias("pmi"),
-                    "n"))
+    one = (pairs.join(fx, "x").join(fy, "y")
+           .select("x", "y",
+                   F.log10(F.col("n").cast("double") * n_lines
+                           / (F.col("n_x").cast("double") * F.col("n_y").cast("double"))).alias("pmi"),
+                   "n"))
+    return _mirror(one)
+
+
+def prune_rare(words: DataFrame, lf: DataFrame, threshold: int) -> DataFrame:
+    """Drop from each line the words found in fewer than ``threshold`` lines.
+
+    Exact for pair thresholds: a pair seen in ``n`` lines has both words in at least
+    ``n`` lines, so no pair reaching the threshold loses a line. The (line, word) rows
+    are semi-joined with the frequent words and regrouped per line (at most 40 words a
+    line), which costs far less than the pairs of the rare words it removes.
+    """
+    if threshold <= 1:
+        return words
+    frequent = lf.where(F.col("n_lines") >= threshold).select("word")
+    return (words.select("doc_id", "line_no", F.explode_outer("words").alias("word")).where(nonempty("word"))
+            .join(frequent, "word", "left_semi")
+            .groupBy("doc_id", "line_no").agg(F.collect_list("word").alias("words")))
 
 
 def pmi_stripes(words: DataFrame, threshold: int = 1, min_partners: int = 1,

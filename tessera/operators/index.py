@@ -15,14 +15,14 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import snippet
+from tessera.functions.text import nonempty, snippet
 
 BLOCK_DOCS = 1024  # document ids per posting block
 
 
 def term_frequency(doc_tokens: DataFrame) -> DataFrame:
     """A12/SRC2: (term, doc_id, tf) from (doc_id, tokens)."""
-    return (doc_tokens.select("doc_id", F.explode("tokens").alias("term"))
+    return (doc_tokens.select("doc_id", F.explode_outer("tokens").alias("term")).where(nonempty("term"))
             .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -23,7 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import feature_id, tokenize
+from tessera.functions.text import feature_id, nonempty, tokenize
+from tessera.sources.tables import spread
 
 DELTA = 0.002  # learning rate of the studied learner
 BUCKETS = 1000  # feature hash buckets of the test stand-in
@@ -34,7 +35,7 @@ def instances(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
               label_col: str = "quality") -> DataFrame:
     """M1/T7 stand-in: labelled documents -> (doc_id, y INT, features ARRAY<INT>)."""
     lab = labels.select("doc_id", F.col(label_col).cast("int").alias("y"))
-    docs = documents.select("doc_id", "text").join(lab, "doc_id")
+    docs = spread(documents.select("doc_id", "text"), "doc_id").join(lab, "doc_id")
     return docs.select("doc_id", "y",
                        F.transform(tokenize(F.col("text")), lambda t: feature_id(t, buckets).cast("int"))
                        .alias("features"))
@@ -43,7 +44,8 @@ def instances(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
 def occurrences(inst: DataFrame, model_col: str | None = None) -> DataFrame:
     """(model_id, doc_id, y, f, cnt): features counted per instance."""
     mid = F.col(model_col).cast("int") if model_col else F.lit(0)
-    return (inst.select(mid.alias("model_id"), "doc_id", "y", F.explode("features").alias("f"))
+    return (inst.select(mid.alias("model_id"), "doc_id", "y", F.explode_outer("features").alias("f"))
+            .where(nonempty("f"))
             .groupBy("model_id", "doc_id", "y", "f").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -60,7 +62,9 @@ def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA,
     checkpointed once and the model after every epoch.
     """
     spark = occ.sparkSession
-    occ = occ.repartition("model_id", "doc_id").checkpoint(eager=True)
+    # Rows of one instance must sit together for the per-instance window; instances
+    # spread by doc_id already are, and the checkpoint keeps that partitioning.
+    occ = occ.checkpoint(eager=True)
     model = spark.createDataFrame([], "model_id int, f int, w double")
     per_doc = Window.partitionBy("model_id", "doc_id")
     for _ in range(epochs):

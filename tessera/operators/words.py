@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import bigram_structs, tokenize
+from tessera.functions.text import bigram_structs, nonempty, tokenize
 from tessera.sources.tables import corpus_lines, spread
 
 
@@ -29,12 +29,13 @@ def line_tokens(documents: DataFrame) -> DataFrame:
 
 def token_rows(tokens: DataFrame) -> DataFrame:
     """One row per token occurrence -> (doc_id, pos, token), ``pos`` from 0."""
-    return tokens.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    return (tokens.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+            .where(nonempty("token")))
 
 
 def word_count(tokens: DataFrame) -> DataFrame:
     """Occurrences of each word -> (word, n)."""
-    return (tokens.select(F.explode("tokens").alias("word"))
+    return (tokens.select(F.explode_outer("tokens").alias("word")).where(nonempty("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -42,15 +43,14 @@ def follower_count(tokens: DataFrame, anchor: str = "the", min_count: int = 2) -
     """WF3/F3/T20: words right after ``anchor`` within a line, kept when seen at least
     ``min_count`` times -> (word, n). Two anchors in a row: the second is a follower."""
     pairs = F.filter(bigram_structs(F.col("tokens")), lambda p: p["x"] == anchor)
-    return (tokens.select(F.explode(pairs).alias("p"))
+    return (tokens.select(F.explode_outer(pairs).alias("p")).where(nonempty("p"))
             .groupBy(F.col("p.y").alias("word")).agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= min_count))
 
 
 def bigram_counts(tokens: DataFrame) -> DataFrame:
     """WF2/F8: counts of adjacent token pairs within a line -> (x, y, n)."""
-    return (tokens.where(F.size("tokens") > 1)
-            .select(F.inline(bigram_structs(F.col("tokens"))))
+    return (tokens.select(F.inline_outer(bigram_structs(F.col("tokens")))).where(nonempty("x"))
             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -67,7 +67,7 @@ def bigram_freq(tokens: DataFrame) -> DataFrame:
 def bigram_marginals(tokens: DataFrame) -> DataFrame:
     """Detail counts and the marginal ``(x, '*')`` rows in one grouping-sets pass
     -> (x, y, n), ``y = '*'`` on marginal rows."""
-    pairs = tokens.where(F.size("tokens") > 1).select(F.inline(bigram_structs(F.col("tokens"))))
+    pairs = tokens.select(F.inline_outer(bigram_structs(F.col("tokens")))).where(nonempty("x"))
     g = pairs.groupingSets([["x", "y"], ["x"]], "x", "y").agg(
         F.count(F.lit(1)).alias("n"), F.grouping("y").alias("_gy"))
     return g.select("x", F.when(F.col("_gy") == 1, F.lit("*")).otherwise(F.col("y")).alias("y"), "n")

@@ -46,7 +46,8 @@ def _model(spark, sf):
 
 @register("instances", f"WITH {OCC_CTE} SELECT doc_id, y, pos, f FROM feat")
 def instances(spark, sf):
-    return _inst(spark, sf).select("doc_id", "y", F.posexplode("features").alias("pos", "f"))
+    return (_inst(spark, sf).select("doc_id", "y", F.posexplode_outer("features").alias("pos", "f"))
+            .where(F.col("f").isNotNull()))
 
 
 @register("shuffle_instances")

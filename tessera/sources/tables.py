@@ -41,8 +41,8 @@ def corpus_lines(documents: DataFrame) -> DataFrame:
     ``line_no`` counts from 0. Blank lines are kept (they count as lines for PMI).
     """
     return documents.select(
-        "doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line")
-    )
+        "doc_id", F.posexplode_outer(F.split(F.col("text"), "\n")).alias("line_no", "line")
+    ).where(F.col("line").isNotNull())
 
 
 # ---------------------------------------------------------------- delimited tables (SRC3, F9)
