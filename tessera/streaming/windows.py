@@ -71,11 +71,24 @@ def region_window_counts(events: DataFrame, length: str = "1 hour", slide: str |
 
 # ---------------------------------------------------------------- stream replay (SRC9, ST4-ST8, SNK5)
 
-def replay_files(events: DataFrame, path: str, n_files: int) -> None:
-    """Stand-in stream: events cut by ``event_id`` range into ``n_files`` Parquet files
-    ``part-NNNNN-..``, one micro-batch each (a range partitioning, written in parallel)."""
-    (events.repartitionByRange(n_files, "event_id").sortWithinPartitions("event_id")
-     .write.mode("overwrite").parquet(path))
+def replay_files(events: DataFrame, path: str, n_files: int, order_col: str = "event_id") -> None:
+    """Stand-in for a folder that receives one file per minute: the table cut into
+    ``n_files`` equal ``order_col`` ranges, each written as one file, one after another.
+
+    The file source replays files in modification-time order, so the files are
+    published in ``order_col`` order; with event time and a watermark, a file replayed
+    out of order would have its rows dropped as late. Each range is a filtered scan
+    (the range predicate reaches the Parquet reader).
+    """
+    lo, hi = events.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return
+    width = (hi - lo) // n_files + 1
+    for i in range(n_files):
+        a, b = lo + i * width, lo + (i + 1) * width
+        (events.where((F.col(order_col) >= a) & (F.col(order_col) < b))
+         .coalesce(1).sortWithinPartitions(order_col)
+         .write.mode("append").parquet(path))
 
 
 def read_replay(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1,
