@@ -19,13 +19,22 @@ from pyspark.sql import types as T
 REGIONS = [("a", 10.0, 60.0, 20.0, 40.0), ("b", 61.0, 95.0, 50.0, 90.0)]
 
 
-def event_time(ts: Column) -> Column:
-    """Event time usable by ``withWatermark`` (which refuses TIMESTAMP_NTZ)."""
-    return ts.cast("timestamp")
+def _session_tz(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.session.timeZone")
 
 
-def window_start_text(w: Column) -> Column:
-    return F.date_format(w["start"], "yyyy-MM-dd HH:mm:ss")
+def event_time(ts: Column, tz: str) -> Column:
+    """Event time usable by ``withWatermark`` (which refuses TIMESTAMP_NTZ): the wall
+    clock read as UTC, so windows align the same whatever the session time zone."""
+    return F.from_utc_timestamp(ts.cast("timestamp"), tz)
+
+
+def window_start_text(w: Column, ts_type: T.DataType, tz: str) -> Column:
+    """Window start as ``yyyy-MM-dd HH:mm:ss`` wall-clock text."""
+    start = w["start"]
+    if isinstance(ts_type, T.TimestampType):
+        start = F.to_utc_timestamp(start, tz)
+    return F.date_format(start, "yyyy-MM-dd HH:mm:ss")
 
 
 def positions(events: DataFrame) -> DataFrame:
@@ -57,8 +66,9 @@ def window_counts(events: DataFrame, length: str = "1 hour", slide: str | None =
     Grouping is by the window struct itself (keeps the watermark usable in streams)."""
     w = F.window("ts", length, slide) if slide else F.window("ts", length)
     keys = keys or []
+    text = window_start_text(F.col("w"), events.schema["ts"].dataType, _session_tz(events.sparkSession))
     return (events.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
-            .select(*keys, window_start_text(F.col("w")).alias("window_start"), "n"))
+            .select(*keys, text.alias("window_start"), "n"))
 
 
 def region_window_counts(events: DataFrame, length: str = "1 hour", slide: str | None = None,
@@ -97,7 +107,7 @@ def read_replay(spark: SparkSession, path: str, schema: T.StructType, files_per_
     only ``part-*`` files; ``ts`` as event time with a watermark."""
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
          .option("pathGlobFilter", "part-*").parquet(path))
-    s = s.withColumn("ts", event_time(F.col("ts")))
+    s = s.withColumn("ts", event_time(F.col("ts"), _session_tz(spark)))
     return s.withWatermark("ts", watermark) if watermark else s
 
 
