@@ -7,7 +7,7 @@ until the pair counts, which are partially aggregated per task first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import first_distinct, nonempty
@@ -97,13 +97,13 @@ def prune_rare(words: DataFrame, lf: DataFrame, threshold: int) -> DataFrame:
 
 
 def pmi_stripes(words: DataFrame, threshold: int = 1, min_partners: int = 1,
-                pieces: int = 8) -> DataFrame:
+                pieces: int | None = None) -> DataFrame:
     """F6 + A7: PMI stripes ``(x, piece, stripe MAP<y, STRUCT<pmi, n>>)``, keeping words
     with at least ``min_partners`` partners over all pieces."""
     p = pmi_pairs(words, threshold)
     if min_partners > 1:
-        p = (p.withColumn("_deg", F.count(F.lit(1)).over(Window.partitionBy("x")))
-             .where(F.col("_deg") >= min_partners).drop("_deg"))
+        keep = p.groupBy("x").agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") >= min_partners)
+        p = p.join(keep.select("x"), "x", "left_semi")
     return to_stripes(p, "x", "y", ["pmi", "n"], pieces)
 
 

@@ -80,8 +80,9 @@ def partition_graph(state: DataFrame, n: int, by_range: bool = False) -> DataFra
 
 def prepare_edges(edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """Edges hash-partitioned on ``src`` and kept for all steps: the per-step join with
-    the ranks (partitioned on ``id``) then shuffles neither side again."""
-    n = partitions or edges.sparkSession.sparkContext.defaultParallelism
+    the ranks (hash-partitioned on ``id`` by the previous step's join, with the same
+    ``spark.sql.shuffle.partitions``) then re-shuffles neither side."""
+    n = partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return edges.select("src", "dst").repartition(n, "src").persist()
 
 

@@ -73,16 +73,28 @@ def bigram_marginals(tokens: DataFrame) -> DataFrame:
     return g.select("x", F.when(F.col("_gy") == 1, F.lit("*")).otherwise(F.col("y")).alias("y"), "n")
 
 
-def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
-               pieces: int = 8) -> DataFrame:
-    """Long rows -> stripes ``(key, piece, stripe MAP<partner, value>)``.
+MAX_STRIPE_ENTRIES = 100_000  # partners held in one stripe piece at most
+
 
-    ``piece = pmod(xxhash64(partner), pieces)``: a stripe is cut into ``pieces`` maps so
-    that one very common key is spread over several rows and tasks. The value is the
-    single column or a struct of several.
+def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
+               pieces: int | None = None, max_entries: int = MAX_STRIPE_ENTRIES) -> DataFrame:
+    """Long rows (one per key and partner) -> stripes ``(key, piece, stripe MAP)``.
+
+    A stripe is cut into pieces by ``pmod(xxhash64(partner), P)``. With ``pieces``
+    given, ``P`` is that fixed number (two stripe tables built alike can be merged
+    piece by piece). Otherwise ``P = ceil(partners / max_entries)`` per key, from a
+    partially aggregated partner count, so no map holds more than about
+    ``max_entries`` entries however common the key. The value is the single column or
+    a struct of several.
     """
     val = F.col(value_cols[0]) if len(value_cols) == 1 else F.struct(*[F.col(c) for c in value_cols])
-    return (long.withColumn("piece", F.pmod(F.xxhash64(F.col(partner)), F.lit(pieces)).cast("int"))
+    if pieces is not None:
+        n_pieces = F.lit(pieces)
+    else:
+        deg = long.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).alias("_pieces"))
+        long = long.join(deg, key)
+        n_pieces = F.col("_pieces")
+    return (long.withColumn("piece", F.pmod(F.xxhash64(F.col(partner)), n_pieces).cast("int"))
             .groupBy(key, "piece")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(partner), val))))
                  .alias("stripe")))
@@ -96,7 +108,7 @@ def from_stripes(stripes: DataFrame, key: str, partner: str, value_names: list[s
     return e.select(key, partner, *[F.col("_v")[v].alias(v) for v in value_names])
 
 
-def bigram_stripes(tokens: DataFrame, pieces: int = 8) -> DataFrame:
+def bigram_stripes(tokens: DataFrame, pieces: int | None = None) -> DataFrame:
     """Stripes of bigram counts normalised to relative frequencies.
 
     -> (x, piece, stripe MAP<y, STRUCT<n, freq>>). The marginal is summed over all
@@ -112,7 +124,8 @@ def bigram_stripes(tokens: DataFrame, pieces: int = 8) -> DataFrame:
 
 
 def merge_stripes(a: DataFrame, b: DataFrame, key: str = "x") -> DataFrame:
-    """Element-wise sum of two stripe tables of counts (same ``pieces``).
+    """Element-wise sum of two stripe tables of counts built with the same fixed
+    ``pieces``.
 
     Full outer join on ``(key, piece)`` and ``map_zip_with`` over the union of partners.
     """

@@ -76,8 +76,8 @@ SELECT x, y, n FROM bc
 """)
 def stripe_merge(spark, sf):
     toks = W.line_tokens(_docs(spark, sf))
-    even = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 0)), "x", "y", ["n"])
-    odd = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 1)), "x", "y", ["n"])
+    even = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 0)), "x", "y", ["n"], pieces=8)
+    odd = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 1)), "x", "y", ["n"], pieces=8)
     return W.from_stripes(W.merge_stripes(even, odd), "x", "y", ["n"])
 
 

@@ -132,3 +132,13 @@ def test_partition_sorted_is_sorted_in_each_partition(spark):
         assert keys == sorted(keys)
         for r in rs:  # every key (and visible partition number) lives in one partition only
             assert seen.setdefault(r.part, pid) == pid
+
+
+def test_adaptive_stripe_pieces_are_bounded(spark):
+    long = spark.createDataFrame([("hot", f"p{i}", i) for i in range(50)] + [("cold", "p1", 1)],
+                                 "x string, y string, n long")
+    st = W.to_stripes(long, "x", "y", ["n"], max_entries=8).collect()
+    hot = [r for r in st if r.x == "hot"]
+    assert max(len(r.stripe) for r in st) <= 16  # hash pieces: about max_entries each
+    assert sum(len(r.stripe) for r in hot) == 50 and len(hot) >= 5
+    assert [len(r.stripe) for r in st if r.x == "cold"] == [1]
