@@ -101,10 +101,8 @@ def pmi_stripes(words: DataFrame, threshold: int = 1, min_partners: int = 1,
     """F6 + A7: PMI stripes ``(x, piece, stripe MAP<y, STRUCT<pmi, n>>)``, keeping words
     with at least ``min_partners`` partners over all pieces."""
     p = pmi_pairs(words, threshold)
-    if min_partners > 1:
-        keep = p.groupBy("x").agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") >= min_partners)
-        p = p.join(keep.select("x"), "x", "left_semi")
-    return to_stripes(p, "x", "y", ["pmi", "n"], pieces)
+    deg = p.groupBy("x").agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") >= min_partners)
+    return to_stripes(p.join(deg, "x"), "x", "y", ["pmi", "n"], pieces, degree_col="_deg")
 
 
 def stripes_long(stripes: DataFrame) -> DataFrame:

@@ -152,20 +152,25 @@ INLINE_IDS = 10_000  # hit ids inlined into the document scan's filter up to thi
 def fetch_rows(table: DataFrame, keys: DataFrame, key: str, max_inline: int = INLINE_IDS) -> DataFrame:
     """The rows of ``table`` whose ``key`` is in ``keys``.
 
-    A few hits against a huge table: when the distinct keys number at most
-    ``max_inline`` (counted first), they become an ``IN`` filter that reaches the
-    Parquet reader, so row groups whose min/max exclude every hit are skipped (the
-    reference seeks by offset). Otherwise a semi join, with AQE choosing broadcast.
+    A few hits against a huge table: when there are at most ``max_inline`` distinct
+    keys (at most ``max_inline + 1`` are fetched to find out), they become an ``IN``
+    filter that reaches the Parquet reader, so row groups whose min/max exclude every
+    hit are skipped (the reference seeks by offset). Otherwise a semi join, with AQE
+    choosing broadcast.
     """
     distinct = keys.select(key).distinct()
-    if distinct.count() <= max_inline:
-        ids = [r[0] for r in distinct.collect()]
+    ids = [r[0] for r in distinct.limit(max_inline + 1).collect()]
+    if len(ids) <= max_inline:
         return table.where(F.col(key).isin(ids))
     return table.join(distinct, key, "left_semi")
 
 
 def retrieve_snippets(hits: DataFrame, documents: DataFrame, width: int = 80) -> DataFrame:
-    """Hits with the first line of their document, cut to ``width`` characters."""
+    """Hits with the first line of their document, cut to ``width`` characters.
+
+    The hits are read twice (their ids, then the join), so they are checkpointed once
+    into the shared checkpoint folder rather than computed twice."""
+    hits = hits.checkpoint(eager=True)
     docs = fetch_rows(documents.select("doc_id", "text"), hits, "doc_id")
     docs = docs.select("doc_id", snippet(F.col("text"), width).alias("snippet"))
     return hits.join(docs, "doc_id").select(*hits.columns, "snippet")

@@ -77,19 +77,22 @@ MAX_STRIPE_ENTRIES = 100_000  # partners held in one stripe piece at most
 
 
 def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
-               pieces: int | None = None, max_entries: int = MAX_STRIPE_ENTRIES) -> DataFrame:
+               pieces: int | None = None, max_entries: int = MAX_STRIPE_ENTRIES,
+               degree_col: str | None = None) -> DataFrame:
     """Long rows (one per key and partner) -> stripes ``(key, piece, stripe MAP)``.
 
     A stripe is cut into pieces by ``pmod(xxhash64(partner), P)``. With ``pieces``
     given, ``P`` is that fixed number (two stripe tables built alike can be merged
     piece by piece). Otherwise ``P = ceil(partners / max_entries)`` per key, from a
-    partially aggregated partner count, so no map holds more than about
-    ``max_entries`` entries however common the key. The value is the single column or
-    a struct of several.
+    partially aggregated partner count (or ``degree_col`` when the caller has it), so
+    no map holds more than about ``max_entries`` entries however common the key. The
+    value is the single column or a struct of several.
     """
     val = F.col(value_cols[0]) if len(value_cols) == 1 else F.struct(*[F.col(c) for c in value_cols])
     if pieces is not None:
         n_pieces = F.lit(pieces)
+    elif degree_col is not None:
+        n_pieces = F.ceil(F.col(degree_col) / F.lit(max_entries))
     else:
         deg = long.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).alias("_pieces"))
         long = long.join(deg, key)
@@ -114,8 +117,10 @@ def bigram_stripes(tokens: DataFrame, pieces: int | None = None) -> DataFrame:
     -> (x, piece, stripe MAP<y, STRUCT<n, freq>>). The marginal is summed over all
     pieces of ``x`` before the maps are built.
     """
-    c = bigram_counts(tokens).withColumn("n_x", F.sum("n").over(Window.partitionBy("x")))
-    stripes = to_stripes(c.select("x", "y", "n", "n_x"), "x", "y", ["n", "n_x"], pieces)
+    by_x = Window.partitionBy("x")
+    c = (bigram_counts(tokens).withColumn("n_x", F.sum("n").over(by_x))
+         .withColumn("_deg", F.count(F.lit(1)).over(by_x)))
+    stripes = to_stripes(c, "x", "y", ["n", "n_x"], pieces, degree_col="_deg")
     return stripes.select(
         "x", "piece",
         F.transform_values("stripe", lambda k, v: F.struct(v["n"].alias("n"),
