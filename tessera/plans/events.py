@@ -52,7 +52,8 @@ def _stream(spark, sf, build):
     base = scratch_path(spark, "event-stream")
     S.replay_files(ev, f"{base}/in", FILES)
     stream = S.read_replay(spark, f"{base}/in", ev.schema)
-    return S.run_complete(build(stream), f"{base}/out", f"{base}/state")
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return S.run_complete(build(stream), f"{base}/out", f"{base}/state", state_partitions=parts)
 
 
 @register("stream_hourly_count", HOURLY_SQL)

@@ -10,6 +10,8 @@ Parquet sink partitioned by window start (append mode, after the watermark).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,8 +113,31 @@ def read_replay(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return s.withWatermark("ts", watermark) if watermark else s
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Number of state-store partitions of a stateful query started inside the block.
+
+    A streaming query copies the session settings when it starts and keeps its
+    partition count in its checkpoint, so the setting is changed only while
+    ``start()`` runs. Windowed counts keep one row per window and key: their state
+    is small and the input is partially aggregated before the shuffle, so a few
+    partitions serve any input rate; the session default (200) would mean 200
+    state tasks per micro-batch."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_complete(result: DataFrame, out_base: str, checkpoint: str,
-                 timeout_s: int = 1800, per_batch=None) -> DataFrame:
+                 timeout_s: int = 1800, per_batch=None,
+                 state_partitions: int | None = None) -> DataFrame:
     """ST4-ST8: run a streaming aggregation in complete mode over all available input
     (``availableNow``) and return the final full result as a batch DataFrame.
 
@@ -131,8 +156,9 @@ def run_complete(result: DataFrame, out_base: str, checkpoint: str,
         df.unpersist()
         last["epoch"] = epoch_id
 
-    q = (result.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with _state_partitions(spark, state_partitions):
+        q = (result.writeStream.outputMode("complete").foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     if not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream did not finish in time")
@@ -144,11 +170,12 @@ def run_complete(result: DataFrame, out_base: str, checkpoint: str,
 
 
 def write_windows_append(result: DataFrame, path: str, checkpoint: str,
-                         timeout_s: int = 1800):
+                         timeout_s: int = 1800, state_partitions: int | None = None):
     """SNK5: append mode to Parquet, one folder per window start; a window is written
     once the watermark passes its end (the last open window stays in state)."""
-    q = (result.writeStream.outputMode("append").format("parquet").partitionBy("window_start")
-         .option("path", path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    with _state_partitions(result.sparkSession, state_partitions):
+        q = (result.writeStream.outputMode("append").format("parquet").partitionBy("window_start")
+             .option("path", path).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     return q
