@@ -10,7 +10,7 @@ from the node table). Loops checkpoint every step into the shared checkpoint fol
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.sources.sinks import write_iteration
@@ -103,19 +103,35 @@ def ppr_step(state: DataFrame, edges: DataFrame, sources: list[str], alpha: floa
 
 
 def ppr_run(state: DataFrame, edges: DataFrame, sources: list[str], steps: int,
-            alpha: float = ALPHA, save_base: str | None = None, start: int = 0) -> DataFrame:
+            alpha: float = ALPHA, save_base: str | None = None, start: int = 0,
+            metrics: list | None = None) -> DataFrame:
     """``steps`` iterations. Every step is materialised (reliable checkpoint, or
     ``{save_base}/iter={k}`` Parquet when given) so lineage stays one step long and a
-    lost executor recomputes at most one step."""
+    lost executor recomputes at most one step.
+
+    A16/D17: with ``metrics`` (a list), each step appends its counters, gathered by
+    ``observe`` during the step's own write (no extra job): ``nodes``, ``mass`` (rank
+    sum; below 1 when mass went to missing nodes), ``active`` (nodes with out-edges),
+    ``messages`` (edge messages sent) and ``received`` (nodes that got any)."""
     spark = state.sparkSession
     e = prepare_edges(edges)
     cur = state
     for i in range(start + 1, start + steps + 1):
         nxt = ppr_step(cur, e, sources, alpha)
+        obs = None
+        if metrics is not None:
+            obs = Observation(f"ppr-step-{i}")
+            nxt = nxt.observe(obs, F.count(F.lit(1)).alias("nodes"), F.sum("rank").alias("mass"),
+                              F.count_if(F.col("out_degree") > 0).alias("active"),
+                              F.sum("out_degree").alias("messages_next"))
         if save_base:
             nxt = spark.read.parquet(write_iteration(nxt, save_base, i))
         else:
             nxt = nxt.checkpoint(eager=True)
+        if obs is not None:
+            m = dict(obs.get)
+            m["iteration"] = i
+            metrics.append(m)
         cur = nxt
     e.unpersist()
     return cur

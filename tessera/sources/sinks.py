@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """SNK1: tab-separated text of tuples; complex columns go out as JSON."""
+    """SNK1/T15: tab-separated text of tuples, one line per row; maps, arrays and
+    structs go out as JSON, nulls as empty fields."""
     cols = []
     for f in df.schema.fields:
-        if f.dataType.typeName() in ("map", "array", "struct"):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    df.select(*cols).write.mode("overwrite").option("sep", "\t").csv(path)
+        c = F.col(f.name)
+        c = F.to_json(c) if f.dataType.typeName() in ("map", "array", "struct") else c.cast("string")
+        cols.append(F.coalesce(c, F.lit("")))
+    df.select(F.concat_ws("\t", *cols).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_term_sorted(index: DataFrame, path: str, partitions: int) -> None:

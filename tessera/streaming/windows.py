@@ -179,3 +179,12 @@ def write_windows_append(result: DataFrame, path: str, checkpoint: str,
              .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     return q
+
+
+def start_live(result: DataFrame, sink, checkpoint: str, interval: str = "1 minute",
+               output_mode: str = "update", state_partitions: int | None = None):
+    """ST4: run a stream on a processing-time trigger (one micro-batch per ``interval``)
+    until stopped; ``sink(df, epoch_id)`` receives each batch's changed rows."""
+    with _state_partitions(result.sparkSession, state_partitions):
+        return (result.writeStream.outputMode(output_mode).foreachBatch(sink)
+                .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())

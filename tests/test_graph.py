@@ -107,3 +107,15 @@ def test_log_sum_exp_no_overflow(spark):
     finite = np.array([v for v in vals if v != -math.inf])
     want = finite.max() + math.log(np.exp(finite - finite.max()).sum())
     assert abs(got - want) < 1e-9
+
+
+def test_step_counters_by_observe(spark):
+    ids = ["1", "2", "3", "4"]  # "5" is missing: mass leaks from step 2 on
+    nodes, edges = _graph(spark, EDGES, ids)
+    metrics = []
+    G.ppr_run(G.build_state(nodes, edges, ["1"]), edges, ["1"], 3, metrics=metrics)
+    assert [m["iteration"] for m in metrics] == [1, 2, 3]
+    assert all(m["nodes"] == 4 for m in metrics)
+    want = [sum(_py_ppr(ids, EDGES, ["1"], k).values()) for k in (1, 2, 3)]
+    assert all(abs(m["mass"] - w) < 1e-12 for m, w in zip(metrics, want))
+    assert abs(metrics[0]["mass"] - 1.0) < 1e-12 and metrics[2]["mass"] < 1.0
