@@ -5,7 +5,7 @@ from tessera.session import scratch_path
 from tessera.sources.tables import read_table
 from tessera.streaming import windows as S
 
-FILES = 12  # micro-batches of the replayed stream
+FILES = 12  # micro-batches of the replayed stream (event_id ranges)
 
 POS_CTE = """pos AS (SELECT ts,
     CASE WHEN event_type = 'click' THEN value ELSE TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS x,
@@ -50,8 +50,8 @@ def region_hourly_count(spark, sf):
 def _stream(spark, sf, build):
     ev = _events(spark, sf)
     base = scratch_path(spark, "event-stream")
-    S.replay_files(ev, f"{base}/in", FILES)
-    stream = S.read_replay(spark, f"{base}/in", ev.schema)
+    per_batch = S.replay_files(ev, f"{base}/in", FILES)
+    stream = S.read_replay(spark, f"{base}/in", ev.schema, files_per_trigger=per_batch)
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return S.run_complete(build(stream), f"{base}/out", f"{base}/state", state_partitions=parts)
 

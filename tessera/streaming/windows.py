@@ -10,6 +10,7 @@ Parquet sink partitioned by window start (append mode, after the watermark).
 
 from __future__ import annotations
 
+import math
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,24 +84,34 @@ def region_window_counts(events: DataFrame, length: str = "1 hour", slide: str |
 
 # ---------------------------------------------------------------- stream replay (SRC9, ST4-ST8, SNK5)
 
-def replay_files(events: DataFrame, path: str, n_files: int, order_col: str = "event_id") -> None:
-    """Stand-in for a folder that receives one file per minute: the table cut into
-    ``n_files`` equal ``order_col`` ranges, each written as one file, one after another.
+ROWS_PER_FILE = 1_000_000  # replay file size target
 
-    The file source replays files in modification-time order, so the files are
-    published in ``order_col`` order; with event time and a watermark, a file replayed
-    out of order would have its rows dropped as late. Each range is a filtered scan
-    (the range predicate reaches the Parquet reader).
+
+def replay_files(events: DataFrame, path: str, n_batches: int, order_col: str = "event_id",
+                 rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Stand-in for a folder that receives the events of one period at a time: the
+    table cut into ``n_batches`` equal ``order_col`` ranges, written one range after
+    another, each range as ``files_per_batch`` files in parallel. Returns
+    ``files_per_batch``: read with that many files per trigger, one micro-batch is one
+    range.
+
+    The file source replays files in modification-time order, and every file of a
+    range is written before the next range starts, so the micro-batches follow
+    ``order_col`` (with event time and a watermark, a range replayed out of order
+    would have its rows dropped as late). Each range is a filtered scan (the range
+    predicate reaches the Parquet reader).
     """
-    lo, hi = events.agg(F.min(order_col), F.max(order_col)).first()
+    lo, hi, n = events.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
     if lo is None:
-        return
-    width = (hi - lo) // n_files + 1
-    for i in range(n_files):
+        return 1
+    files_per_batch = max(1, math.ceil(n / (n_batches * rows_per_file)))
+    width = (hi - lo) // n_batches + 1
+    for i in range(n_batches):
         a, b = lo + i * width, lo + (i + 1) * width
-        (events.where((F.col(order_col) >= a) & (F.col(order_col) < b))
-         .coalesce(1).sortWithinPartitions(order_col)
-         .write.mode("append").parquet(path))
+        part = events.where((F.col(order_col) >= a) & (F.col(order_col) < b))
+        part = part.coalesce(1) if files_per_batch == 1 else part.repartitionByRange(files_per_batch, order_col)
+        part.sortWithinPartitions(order_col).write.mode("append").parquet(path)
+    return files_per_batch
 
 
 def read_replay(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1,
