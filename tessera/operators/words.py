@@ -8,7 +8,7 @@ raw rows, and it is further cut into ``pieces`` by a hash of the partner.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bigram_structs, nonempty, tokenize
@@ -57,11 +57,19 @@ def bigram_counts(tokens: DataFrame) -> DataFrame:
 def bigram_freq(tokens: DataFrame) -> DataFrame:
     """WF1/T4: relative frequency ``n(x, y) / n(x, *)`` -> (x, y, n, freq).
 
-    The marginal is a window sum over the already aggregated pair counts (order
-    inversion without a sort): one row per distinct partner of ``x``.
+    The marginal (order inversion without a sort) is a partially aggregated
+    ``groupBy(x)`` joined back on ``x``: AQE broadcasts it when the vocabulary is small
+    and otherwise splits a very common ``x`` across tasks (skew join), which a window
+    partition could not.
     """
     c = bigram_counts(tokens)
-    return c.withColumn("freq", F.col("n") / F.sum("n").over(Window.partitionBy("x")))
+    return (c.join(_marginals(c), "x")
+            .select("x", "y", "n", (F.col("n") / F.col("n_x")).alias("freq")))
+
+
+def _marginals(counts: DataFrame) -> DataFrame:
+    """(x, n_x, deg): total count and number of distinct partners of each ``x``."""
+    return counts.groupBy("x").agg(F.sum("n").alias("n_x"), F.count(F.lit(1)).alias("_deg"))
 
 
 def bigram_marginals(tokens: DataFrame) -> DataFrame:
@@ -117,9 +125,8 @@ def bigram_stripes(tokens: DataFrame, pieces: int | None = None) -> DataFrame:
     -> (x, piece, stripe MAP<y, STRUCT<n, freq>>). The marginal is summed over all
     pieces of ``x`` before the maps are built.
     """
-    by_x = Window.partitionBy("x")
-    c = (bigram_counts(tokens).withColumn("n_x", F.sum("n").over(by_x))
-         .withColumn("_deg", F.count(F.lit(1)).over(by_x)))
+    counts = bigram_counts(tokens)
+    c = counts.join(_marginals(counts), "x")
     stripes = to_stripes(c, "x", "y", ["n", "n_x"], pieces, degree_col="_deg")
     return stripes.select(
         "x", "piece",
