@@ -142,3 +142,11 @@ def test_adaptive_stripe_pieces_are_bounded(spark):
     assert max(len(r.stripe) for r in st) <= 16  # hash pieces: about max_entries each
     assert sum(len(r.stripe) for r in hot) == 50 and len(hot) >= 5
     assert [len(r.stripe) for r in st if r.x == "cold"] == [1]
+
+
+def test_whole_text_tokenizer_equals_per_piece_form(spark):
+    from tessera.functions.text import tokenize_per_piece
+    from tessera.sources.tables import read_table
+    from conftest import SF001
+    docs = read_table(spark, SF001, "documents")
+    assert docs.where(tokenize(F.col("text")) != tokenize_per_piece(F.col("text"))).count() == 0
