@@ -146,7 +146,7 @@ def boolean_queries(tf: DataFrame, queries: list[str]) -> DataFrame:
     return (present.select(F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("query_id"), "doc_id"))
 
 
-INLINE_IDS = 10_000  # hit ids inlined into the document scan's filter up to this many
+INLINE_IDS = 1_000  # hit ids inlined into the document scan's filter up to this many (a longer IN list is slow to plan and rarely prunes a row group)
 
 
 def fetch_rows(table: DataFrame, keys: DataFrame, key: str, max_inline: int = INLINE_IDS) -> DataFrame:

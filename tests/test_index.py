@@ -83,3 +83,11 @@ def test_term_sorted_index_lookup_prunes(spark, tmp_dir):
     plan = look._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(term), In(term" in plan or "EqualTo(term" in plan
     assert look.agg(F.max("df")).first()[0] == 50
+
+
+def test_fetch_rows_inline_and_semi_join_agree(spark):
+    table = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "doc_id long, text string")
+    keys = spark.createDataFrame([(3,), (7,), (7,), (19,)], "doc_id long")
+    inline = sorted(tuple(r) for r in I.fetch_rows(table, keys, "doc_id", max_inline=10).collect())
+    joined = sorted(tuple(r) for r in I.fetch_rows(table, keys, "doc_id", max_inline=1).collect())
+    assert inline == joined == [(3, "t3"), (7, "t7"), (19, "t19")]
