@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tessera.operators import relational as R
 from tessera.plans.registry import register
