@@ -42,9 +42,12 @@ def unordered_pair_rows(words: DataFrame) -> DataFrame:
 
 
 def _mirror(df: DataFrame) -> DataFrame:
-    """Both orientations of symmetric pair rows (x < y) -> (x, y, ...) and (y, x, ...)."""
-    rest = [c for c in df.columns if c not in ("x", "y")]
-    return df.unionByName(df.select(F.col("y").alias("x"), F.col("x").alias("y"), *rest))
+    """Both orientations of symmetric pair rows (x < y) -> (x, y, ...) and (y, x, ...),
+    generated from one pass over ``df`` (a union would read and finish it twice)."""
+    rest = [F.col(c) for c in df.columns if c not in ("x", "y")]
+    both = F.array(F.struct(F.col("x").alias("x"), F.col("y").alias("y"), *rest),
+                   F.struct(F.col("y").alias("x"), F.col("x").alias("y"), *rest))
+    return df.select(F.inline(both))
 
 
 def pair_count(words: DataFrame) -> DataFrame:
