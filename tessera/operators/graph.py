@@ -27,9 +27,12 @@ def graph_from_lineitem(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = lineitem.select("l_suppkey", "l_partkey").distinct()
     s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
     p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    edges = pairs.select(s.alias("src"), p.alias("dst")).unionByName(
-        pairs.where(F.col("l_partkey") % 2 == 0).select(p.alias("src"), s.alias("dst")))
-    nodes = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
+    forward = F.struct(s.alias("src"), p.alias("dst"))
+    back = F.struct(p.alias("src"), s.alias("dst"))
+    # Both directions from one pass over the distinct pairs (a union would aggregate twice).
+    edges = pairs.select(F.inline(F.when(F.col("l_partkey") % 2 == 0, F.array(forward, back))
+                                  .otherwise(F.array(forward))))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     return nodes, edges
 
 
