@@ -29,8 +29,7 @@ def line_frequency(words: DataFrame) -> DataFrame:
 
 def pair_rows(words: DataFrame) -> DataFrame:
     """Every ordered pair (x, y) of different words of one line."""
-    u = unordered_pair_rows(words)
-    return u.unionByName(u.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    return _mirror(unordered_pair_rows(words))
 
 
 def unordered_pair_rows(words: DataFrame) -> DataFrame:
