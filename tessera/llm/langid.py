@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 PIECE = 2000
 FINE = 400  # texts up to this many bytes are measured at more levels, to split ties
-LEVELS = (3, 6, 9, 12)
+LEVELS = (5, 6, 9, 12)
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
@@ -27,7 +27,7 @@ def fold(text: str | None) -> str:
     return _NOT_LETTER.sub(" ", text.lower()).strip() if text else ""
 
 
-def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_bytes: int = 16000,
+def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_bytes: int = 8000,
                           lang: str = "lang", text: str = "text", key: str = "doc_id") -> dict[str, bytes]:
     """{language: dictionary} from ``train``; rows of null text or language take no part.
 
@@ -57,7 +57,7 @@ def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_b
     return {k: (" ".join(w for _, w in sorted(v)) + " ").encode() for k, v in sorted(words.items()) if v}
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.002, level: int = 3,
+def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.002, level: int = 6,
             text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, lang_pred, score (0 to 1), rejected.
 
