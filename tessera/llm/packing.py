@@ -34,14 +34,22 @@ class Encoder:
 
     The tokenizer drops white space before it looks at words, so the ids of a text are those of its
     runs in order. Runs met before come from the memo (two generations of at most ``hold`` entries);
-    new ones are encoded in one batch per call.
+    new ones are encoded in one batch per call. A new run of Latin letters and closing marks takes the
+    ids of its letters in lower case (the tokenizer folds case and parts letters from marks), so case
+    and punctuation cost no second encoding.
     """
 
-    def __init__(self, path: str, hold: int = 250_000):
+    def __init__(self, path: str, hold: int = 400_000):
         import os
+        import re
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tok, self.hold = Tokenizer.from_file(path), hold
+        # The same vocabulary without folding and splitting, for runs that are folded and split already.
+        self.word = Tokenizer.from_file(path)
+        self.word.normalizer = normalizers.Sequence([])
+        self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,!?;:%$&*#()]*)").fullmatch
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -57,10 +65,25 @@ class Encoder:
                 new.append(r)
             else:
                 young[r] = got
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for r, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
+        parts, need = [], {}
+        for r in new:
+            m = self.plain(r)
+            own = (m[1].lower(), m[2]) if m and m[2] else (m[1].lower(),) if m else (r,)
+            parts.append(own)
+            for x in own:
+                if x not in young and x not in need:
+                    got = self.old.get(x)
+                    if got is None:
+                        need[x] = m is not None and x is own[0]
+                    else:
+                        young[x] = got
+        folded = [x for x in need if need[x]]
+        other = [x for x in need if not need[x]]
+        for tok, some in ((self.word, folded), (self.tok, other)):
+            for r, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False) if some else []):
                 young[r] = np.array(e.ids, "<u4").tobytes()
+        for r, own in zip(new, parts):
+            young[r] = b"".join([young[x] for x in own])
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text, with END at the end."""
