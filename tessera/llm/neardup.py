@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
     members = rows.join(hubs, "band").distinct().checkpoint()      # buckets of two or more texts
     involved = members.select("id").distinct()
     texts = (docs.select(_id(F.col(text)).alias("id"), F.col(text).alias("text"))
-             .join(involved, "id", "left_semi").dropDuplicates(["id"]))
+             .join(involved, "id", "left_semi").dropDuplicates(["id"]).checkpoint())
     pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct().checkpoint()
     edges = verify(pairs, texts, threshold).checkpoint()
     comp = components(edges).checkpoint()
@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
     sized = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
     members = members.join(sized.select("band"), "band", "left_semi")
     used = members.select("band", F.col("hub").alias("id")).distinct()
-    done, hubs_at_once = pairs, 4
+    done, hubs_at_once = pairs, 16
     while True:
         placed = (members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
         main = placed.where("id = hub").select("band", F.col("comp").alias("main"))
@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
         if not found.isEmpty():
             edges = edges.unionByName(found)
             comp = components(edges).checkpoint()
-        hubs_at_once *= 4
+        hubs_at_once *= 16
     return (signed.select("key", "id").join(comp, "id", "left")
             .select(F.col("key").alias(key), "id", F.coalesce("comp", "id").alias("comp")))
 
