@@ -1,16 +1,17 @@
 """Near duplicates by ProbMinHash over weighted word shingles.
 
-A text is the multiset of its runs of ``SHINGLE`` words (a text of fewer words is one shingle), each
-weighted by its count. Every shingle sends arrivals of a Poisson process of its weight to random
+A text is the set of its runs of ``SHINGLE`` words (a text of fewer words is one shingle), each weighted
+by one plus the logarithm of its count: a line that a text repeats a hundred times weighs more than one
+that stands once, but cannot make two otherwise different texts alike. Every shingle sends arrivals of a Poisson process of its weight to random
 registers; a register keeps the first shingle that reaches it, and a shingle stops as soon as its next
 arrival is later than every register of the text (early termination). Two registers agree with the
 probability Jaccard similarity of the texts. Registers are cut into bands; texts that share a band are
 candidates, and the similarity of candidates is computed exactly.
 
-Equal texts are one class (by MD5). In each band bucket the smallest class is a hub, and all members
-are verified against it; members that end up in another component than the hub become hubs in later
-rounds, a growing number at a time, until no two components of a bucket hold an unchecked pair. So no
-link of a bucket between components is lost, and buckets of near copies never make all pairs.
+Equal texts are one class (by MD5). In each band bucket the text with the most company is a hub, and all
+members are verified against it; members that end up in another component than the hub become hubs in later
+rounds, a growing number at a time, until no two components of a bucket hold an unchecked pair. Pairs of
+these rounds must agree in ``AGREE`` of the registers (four bits of each) before their texts are read.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ from .components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+SKETCH = [f"s{i}" for i in range(8)]  # 15 registers each, four bits of each register
+AGREE = 86  # of the 120 registers, in four bits: 0.8 similar texts fall below with a chance of 0.004
 GROUP = 256  # members that are verified against one copy of a hub
 
 
 def shingles(w: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shingle hash, count) of each different shingle of each row, in order of row."""
+    """(row, shingle hash, weight) of each different shingle of each row, in order of row."""
     h, row = w.hashes(), w.rows()
     at, hs = w.windows(h, k)
     rows, els = [row[at]], [hs]
@@ -44,7 +47,7 @@ def shingles(w: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.nda
     rows, els = np.concatenate(rows), np.concatenate(els)
     _, first, count = np.unique(mix(els ^ mix(rows.astype(np.uint64) + np.uint64(11))), return_index=True, return_counts=True)
     order = np.argsort(rows[first], kind="stable")
-    return rows[first][order], els[first][order], count[order]
+    return rows[first][order], els[first][order], 1 + np.log(count[order])
 
 
 def prob_min_hash(row: np.ndarray, el: np.ndarray, weight: np.ndarray, n_rows: int, m: int) -> np.ndarray:
@@ -77,7 +80,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
         for part in slices(batches):
             w = words(part.column(2))
             row, el, n = shingles(w)
-            reg = prob_min_hash(row, el, n.astype(np.float64), part.num_rows, BANDS * ROWS)
+            reg = prob_min_hash(row, el, n, part.num_rows, BANDS * ROWS)
             full = np.zeros((part.num_rows, BANDS), np.uint64)
             for b in range(BANDS):
                 for r in range(ROWS):
@@ -86,10 +89,14 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             has = w.n > 0
             off = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(off), pa.array(full[has].reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], names=["key", "id", "bands"])
+            nibble = (mix(reg) & np.uint64(15)).reshape(part.num_rows, -1, 15) << (np.arange(15, dtype=np.uint64) * np.uint64(4))
+            sketch = np.bitwise_or.reduce(nibble, axis=2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), bands, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)]],
+                names=["key", "id", "bands", *SKETCH])
 
     slim = docs.select(F.col(key).alias("key"), _id(F.col(text)).alias("id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>")
+    return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def _id(text):
@@ -99,7 +106,7 @@ def _id(text):
 def _weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     _, el, n = shingles(words(pa.array([text or ""])))
     order = np.argsort(el)
-    return el[order], n[order].astype(np.float64)
+    return el[order], n[order]
 
 
 def prob_jaccard(a: tuple, b: tuple) -> float:
@@ -117,6 +124,17 @@ def prob_jaccard(a: tuple, b: tuple) -> float:
     return float(np.sum(1.0 / (more / x + less / y)))
 
 
+def _agreeing() -> F.Column:
+    """Registers whose four bits are equal, of sketches ``s0 ..`` and ``h0 ..``."""
+    differ = F.lit(0)
+    for c in SKETCH:
+        x = F.col(c).bitwiseXOR(F.col("h" + c[1:]))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111_1111_1111_1111)))
+    return F.lit(len(SKETCH) * 15) - differ
+
+
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose texts are ``threshold`` similar or more.
 
@@ -158,29 +176,39 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
     """
     signed = _signed(docs, key, text).checkpoint()
     rows = signed.select("id", F.explode("bands").alias("band"))
-    hubs = rows.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub <> top").select("band", "hub")
-    members = rows.join(hubs, "band").distinct().checkpoint()      # buckets of two or more texts
+    shared = rows.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low <> top").select("band")
+    members = rows.join(shared, "band").distinct().checkpoint()      # buckets of two or more texts
+    # Hubs are the texts with the most company: the origin of a group of near copies shares more bands
+    # with each copy than two copies do, and links them all.
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    degree = members.join(sizes, "band").groupBy("id").agg(F.sum("n").alias("degree"))
+    members = members.join(degree, "id")
+    hubs = members.groupBy("band").agg(F.max(F.struct("degree", "id")).getField("id").alias("hub"))
+    members = members.join(hubs, "band").select("band", "id", "degree", "hub").checkpoint()
     involved = members.select("id").distinct()
     texts = (docs.select(_id(F.col(text)).alias("id"), F.col(text).alias("text"))
              .join(involved, "id", "left_semi").dropDuplicates(["id"]).checkpoint())
-    pairs = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct().checkpoint()
+    pairs = members.where("id <> hub").select("hub", "id").distinct().checkpoint()
+    pairs = pairs.withColumnsRenamed({"hub": "a", "id": "b"})
     edges = verify(pairs, texts, threshold).checkpoint()
     comp = components(edges).checkpoint()
     # Buckets of three texts or more that still lie in several components.
     sized = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    members = members.join(sized.select("band"), "band", "left_semi")
+    sketches = signed.select("id", *SKETCH).dropDuplicates(["id"])
+    members = members.join(sized.select("band"), "band", "left_semi").join(sketches, "id").checkpoint()
     used = members.select("band", F.col("hub").alias("id")).distinct()
-    done, hubs_at_once = pairs, 16
+    done, hubs_at_once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), 4
     while True:
         placed = (members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
         main = placed.where("id = hub").select("band", F.col("comp").alias("main"))
         todo = (placed.join(main, "band").where("comp <> main").join(used, ["band", "id"], "left_anti")
                 .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(hubs_at_once))))
-        new = todo.groupBy("band", "slice").agg(F.min(F.struct("id", "comp")).alias("h")).select(
-            "band", F.col("h.id").alias("a"), F.col("h.comp").alias("acomp")).checkpoint()
+        new = todo.groupBy("band", "slice").agg(F.max(F.struct("degree", "id", "comp", *SKETCH)).alias("h")).select(
+            "band", F.col("h.id").alias("a"), F.col("h.comp").alias("acomp"),
+            *[F.col(f"h.{c}").alias("h" + c[1:]) for c in SKETCH]).checkpoint()
         if new.isEmpty():
             break
-        fresh = (new.join(placed, "band").where("comp <> acomp").select(
+        fresh = (new.join(placed, "band").where((F.col("comp") != F.col("acomp")) & (_agreeing() >= AGREE)).select(
             F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
             .join(done, ["a", "b"], "left_anti").checkpoint())
         used = used.unionByName(new.select("band", F.col("a").alias("id"))).checkpoint()
