@@ -14,22 +14,16 @@ from pyspark.sql import functions as F
 SEPARATORS = "[ \\t\\n\\r\\f]+"
 EDGE_JUNK = "^[^a-z]+|[^a-z]+$"
 
-# The same contract on the whole text at once: any run of separators together with the
-# non-letters touching it (the ends of the neighbouring pieces) becomes one space. The
-# text is padded with a space on both sides so its first and last piece are stripped too.
-_JUNK_AROUND_SEPARATORS = "[^a-z \\t\\n\\r\\f]*[ \\t\\n\\r\\f]+[^a-z \\t\\n\\r\\f]*"
+# The same contract on the whole text at once: a token starts at a letter and reaches to the last
+# letter before the next separator. Each character is looked at a bounded number of times, also in a
+# long run without letters.
+TOKEN = "[a-z](?:[^ \\t\\n\\r\\f]*[a-z])?"
 
 
 def tokenize(text: Column) -> Column:
-    """ARRAY<STRING> of tokens of ``text``.
-
-    Written without lambdas (one ``regexp_replace`` on the whole text, one ``split``,
-    ``array_remove``) so it stays inside whole-stage code generation; equal to the
-    per-piece contract above (tests compare it with a plain Python version).
-    """
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    cleaned = F.regexp_replace(padded, _JUNK_AROUND_SEPARATORS, " ")
-    return F.array_remove(F.split(cleaned, SEPARATORS), "")
+    """ARRAY<STRING> of tokens of ``text``, without lambdas, so it stays inside whole-stage
+    code generation (tests compare it with a plain Python version of the contract)."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def tokenize_per_piece(text: Column) -> Column:
