@@ -93,13 +93,19 @@ def fit_ordinal(batches: list, grades: list[int], rounds: int = 250, l2: float =
     return par[:BUCKETS + DENSE], th
 
 
-def train(rated: DataFrame, sample_rows: int = 6000) -> tuple | None:
-    """(weights, thresholds, grades) from (key, text, grade) rows; null texts count as empty, null
-    grades take no part. At most ``sample_rows`` rows, those of the smallest key hashes, are used;
-    they meet in one task. None without two grades."""
-    sample = (rated.where("grade is not null").select("text", F.col("grade").cast("int").alias("grade"),
-                                                      F.xxhash64("key").alias("h"))
-              .orderBy("h", "text", "grade").limit(sample_rows).coalesce(1))
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int) -> DataFrame:
+    """(text, label) of the documents of at most ``sample_rows`` label rows, those of the smallest hash
+    of their doc_id. The rows are chosen from the labels alone, so only the texts of the sample are
+    read on; the chosen rows are few by the parameter, and are sent to every task."""
+    few = (labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
+           .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows))
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "label")
+
+
+def train(rated: DataFrame) -> tuple | None:
+    """(weights, thresholds, grades) from a bounded sample of (text, label) rows, which meet in one
+    task; null texts count as empty. None without two grades."""
+    sample = rated.coalesce(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0), b.column(1).to_numpy()) for b in slices(batches)]
@@ -110,7 +116,7 @@ def train(rated: DataFrame, sample_rows: int = 6000) -> tuple | None:
         yield pa.RecordBatch.from_arrays([pa.array([weights.tolist()]), pa.array([th.tolist()]),
                                           pa.array([grades], pa.list_(pa.int32()))], names=["w", "theta", "grades"])
 
-    got = sample.select("text", "grade").mapInArrow(run, "w array<double>, theta array<double>, grades array<int>").collect()
+    got = sample.select("text", "label").mapInArrow(run, "w array<double>, theta array<double>, grades array<int>").collect()
     return (np.array(got[0]["w"]), np.array(got[0]["theta"]), list(got[0]["grades"])) if got else None
 
 
@@ -142,11 +148,10 @@ def score(docs: DataFrame, model: tuple | None, keep: list[str] = ("doc_id",), t
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
-def quality_report(docs: DataFrame, labels: DataFrame, min_tail: float = 0.5) -> DataFrame:
+def quality_report(docs: DataFrame, labels: DataFrame, min_tail: float = 0.5, sample_rows: int = 6000) -> DataFrame:
     """doc_id, held_out, expected_grade, tail_prob, selected. Rows whose crc32(doc_id as text) mod 5
     is 0 are held out of training. Without a model every document is selected."""
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    rated = (docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("grade")), "doc_id")
-             .where(~out).withColumnRenamed("doc_id", "key"))
+    rated = labelled_sample(docs, labels.where(~out), "quality", sample_rows)
     scored = score(docs.select("doc_id", "text", out.alias("held_out")), train(rated), keep=["doc_id", "held_out"])
     return scored.withColumn("selected", F.coalesce(F.col("tail_prob") >= min_tail, F.lit(True)))

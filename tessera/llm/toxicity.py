@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import slices, words
+from .quality import labelled_sample
 
 MIN_FUZZY = 5
 STEM = range(3, 9)
@@ -27,6 +28,7 @@ WINDOW = 8
 _TOKEN = re.compile(r"[\"“”„«»]|\w+|\n")
 _QUOTES = set("\"“”„«»")
 FEATURES = 8
+MEMO = 200_000
 
 
 class Lexicon:
@@ -38,6 +40,7 @@ class Lexicon:
         self.stem_sizes = sorted({len(s) for s in self.stems})
         self.words = {e[:-1]: w for e, w in entries.items() if e.endswith("$")}
         self.trie: dict = {}
+        self.memo: dict = {}
         for word, weight in self.words.items():
             node = self.trie
             for ch in word:
@@ -64,6 +67,15 @@ class Lexicon:
         found = self._walk(word)
         return (1, found) if found is not None else None
 
+    def _known(self, token: str) -> tuple[int, float] | None:
+        """``find`` with a memo, emptied when it holds ``MEMO`` words."""
+        found = self.memo.get(token, 0)
+        if found == 0:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            found = self.memo[token] = self.find(token)
+        return found
+
     def _walk(self, word: str) -> float | None:
         """Walk trie and automaton together. A state of the automaton is the set of (letters of
         ``word`` read, edits made), at most one edit."""
@@ -97,8 +109,12 @@ class Lexicon:
             return [0.0] * FEATURES
         kind = [0.0] * 4
         top, at, places, inside = 0.0, 0, [], False
-        find = self.find
-        for token in _TOKEN.findall(text.lower()):
+        tokens = _TOKEN.findall(text.lower())
+        hits = {t: h for t in set(tokens) if (h := self._known(t))}
+        if not hits:
+            return [0.0] * FEATURES
+        find = hits.get
+        for token in tokens:
             if token == "\n":
                 inside = False
             elif token in _QUOTES:
@@ -217,17 +233,13 @@ def _featured(df: DataFrame, lexicon: Lexicon, keep: list[str], weights: np.ndar
     return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def train(labelled: DataFrame, sample_rows: int = 6000, max_terms: int = 20000) -> tuple[Lexicon, np.ndarray]:
-    """(lexicon, logistic weights) from (key, text, toxic) rows.
+def train(labelled: DataFrame, max_terms: int = 20000) -> tuple[Lexicon, np.ndarray]:
+    """(lexicon, logistic weights) from a bounded sample of (text, toxic) rows.
 
-    ``sample_rows`` rows, those of the smallest key hashes, are looked at; ``max_terms`` bounds the
-    favoured terms that come to the driver. Rows of null label take no part. Without toxic rows the
-    lexicon is empty and every score is small.
+    ``max_terms`` bounds the favoured terms that come to the driver. Without toxic rows the lexicon is
+    empty and every score is small.
     """
-    sample = (labelled.where("toxic is not null").select("text", F.col("toxic").cast("int").alias("toxic"),
-                                                         F.xxhash64("key").alias("h"))
-              .orderBy("h", "text", "toxic").limit(sample_rows).drop("h").checkpoint())
-    spread = sample.repartition(8)
+    spread = labelled.repartition(8).checkpoint()
     single = _terms(spread).dropDuplicates(["sign1"]).dropDuplicates(["sign2"]).checkpoint()
     size = single.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).collect()[0]
     toxic, other = int(size["t"]), int(size["n"] - size["t"])
@@ -241,12 +253,11 @@ def train(labelled: DataFrame, sample_rows: int = 6000, max_terms: int = 20000)
     return lexicon, fit_logistic(np.array([r["x"] for r in seen]), np.array([float(r["toxic"] > 0) for r in seen]))
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity_report(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``; null and empty texts score as
     texts without a hit. Repeated rows and labels are used as they come."""
     slim = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    marked = labels.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    labelled = slim.select("doc_id", "text").join(marked, "doc_id").withColumnRenamed("doc_id", "key")
-    lexicon, weights = train(labelled)
+    sample = labelled_sample(slim, labels.where(~held_out(F.col("doc_id"))), "toxic", sample_rows)
+    lexicon, weights = train(sample.withColumnRenamed("label", "toxic"))
     return (_featured(slim, lexicon, ["doc_id", "held_out"], weights)
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
