@@ -151,19 +151,23 @@ def iteration_name(iteration: Column, width: int = 4) -> Column:
 
 
 def top_ranked(state: DataFrame, k: int = 100, digits: int = 9) -> DataFrame:
-    """The ``k`` highest ranks (ties by id), with the ``%.5f`` text form.
+    """The ``k`` highest ranks (ties by id), with the ``%.5f`` text form. The order is that of the
+    ranks themselves; ``digits`` only rounds what is shown.
 
     ``orderBy(..).limit(k)`` plans as a per-task bounded top-k merged once."""
-    r = F.round("rank", digits)
-    return (state.select("id", r.alias("rank"), F.format_string("%.5f", F.col("rank")).alias("rank_text"))
-            .orderBy(F.desc("rank"), "id").limit(k))
+    # Nine significant digits (not decimals): small ranks keep their order, and ties do not depend on
+    # the order in which their shares were summed.
+    key = F.format_string("%.9e", F.col("rank")).cast("double")
+    top = state.select("id", "rank").orderBy(F.desc(key), "id").limit(k)
+    return top.select("id", F.round("rank", digits).alias("rank"), F.format_string("%.5f", F.col("rank")).alias("rank_text"))
 
 
 # ---------------------------------------------------------------- log-space sums
 
 def log_sum_exp(df: DataFrame, keys: list[str], x: str, out: str = "lse") -> DataFrame:
     """``log(sum(exp(x)))`` per group without overflow: ``m + log(sum(exp(x - m)))``
-    with ``m = max(x)``. Nulls (``log 0``) are the empty value and are skipped.
+    with ``m = max(x)``. Nulls are skipped; a group of only minus infinity
+    (``log 0``) sums to minus infinity.
 
     The per-group maxima are one row per group; AQE broadcasts them when they are
     small, so the rows are not shuffled for the join and the sum is partial per task.
@@ -171,4 +175,5 @@ def log_sum_exp(df: DataFrame, keys: list[str], x: str, out: str = "lse") -> Dat
     m = df.groupBy(*keys).agg(F.max(x).alias("_m"))
     return (df.join(m, keys)
             .groupBy(*keys)
-            .agg((F.max("_m") + F.log(F.sum(F.exp(F.col(x) - F.col("_m"))))).alias(out)))
+            .agg(F.when(F.max("_m") == float("-inf"), F.max("_m"))
+                 .otherwise(F.max("_m") + F.log(F.sum(F.exp(F.col(x) - F.col("_m"))))).alias(out)))

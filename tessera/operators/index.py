@@ -27,7 +27,8 @@ def term_frequency(doc_tokens: DataFrame) -> DataFrame:
 
 
 def with_block(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    return tf.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_docs)).cast("bigint"))
+    # Floor of the quotient in whole numbers (a double would lose large ids).
+    return tf.withColumn("block", F.expr(f"(doc_id - pmod(doc_id, {block_docs}L)) div {block_docs}L"))
 
 
 def index_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -35,8 +36,10 @@ def index_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     blocks = (with_block(tf, block_docs).groupBy("term", "block")
               .agg(F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
                    F.count(F.lit(1)).alias("n")))
-    return blocks.withColumn("df", F.sum("n").over(Window.partitionBy("term"))) \
-                 .select("term", "block", "df", "n", "postings")
+    # df is a partial aggregation of its own, joined back: a window by term would bring all postings
+    # of a common term into one task.
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return blocks.join(df, "term").select("term", "block", "df", "n", "postings")
 
 
 def postings_text(postings: Column) -> Column:

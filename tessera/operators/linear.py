@@ -10,8 +10,7 @@ occurrence adds ``(y - p) * delta`` to ``w[f]``.
   ``applyInPandas``), weights averaged over shards. Shards are bounded in size and their
   number grows with the data.
 
-Feature ids are hashed into ``buckets``, so a model has at most ``buckets`` rows per
-model: that bound is what allows the model to be broadcast.
+How a model is joined is left to AQE, which sees its size at run time.
 """
 
 from __future__ import annotations
@@ -28,7 +27,6 @@ from tessera.sources.tables import spread
 
 DELTA = 0.002  # learning rate of the studied learner
 BUCKETS = 1000  # feature hash buckets of the test stand-in
-BROADCAST_MODEL_ROWS = 2_000_000  # a model up to this many rows is broadcast
 
 
 def instances(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
@@ -49,10 +47,6 @@ def occurrences(inst: DataFrame, model_col: str | None = None) -> DataFrame:
             .groupBy("model_id", "doc_id", "y", "f").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def _model_side(model: DataFrame, buckets: int, n_models: int) -> DataFrame:
-    return F.broadcast(model) if buckets * n_models <= BROADCAST_MODEL_ROWS else model
-
-
 def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA,
                     buckets: int = BUCKETS, n_models: int = 1) -> DataFrame:
     """Full-batch training of every ``model_id`` in ``occ`` -> (model_id, f, w).
@@ -68,7 +62,7 @@ def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA,
     model = spark.createDataFrame([], "model_id int, f int, w double")
     per_doc = Window.partitionBy("model_id", "doc_id")
     for _ in range(epochs):
-        scored = (occ.join(_model_side(model, buckets, n_models), ["model_id", "f"], "left")
+        scored = (occ.join(model, ["model_id", "f"], "left")
                   .withColumn("s", F.sum(F.col("cnt") * F.coalesce("w", F.lit(0.0))).over(per_doc)))
         grad = (scored.groupBy("model_id", "f")
                 .agg((F.lit(delta) * F.sum(F.col("cnt") * (F.col("y") - 1.0 / (1.0 + F.exp(-F.col("s"))))))
@@ -83,7 +77,7 @@ def score(occ: DataFrame, model: DataFrame, buckets: int = BUCKETS, n_models: in
     """(model_id, doc_id, score) with ``score = sum cnt * w``; an unknown feature
     weighs 0. ``occ`` carries no model id here: every model scores every instance."""
     o = occ.select("doc_id", "f", "cnt")
-    return (o.join(_model_side(model, buckets, n_models), "f")
+    return (o.join(model, "f")
             .groupBy("model_id", "doc_id").agg(F.sum(F.col("cnt") * F.col("w")).alias("score")))
 
 
@@ -137,7 +131,7 @@ def _sgd_shard(delta: float):
             if len(fs) == 0:
                 continue
             idx = np.searchsorted(ids, fs)
-            p = 1.0 / (1.0 + math.exp(-w[idx].sum()))
+            p = 0.5 * (1.0 + math.tanh(w[idx].sum() / 2.0))  # no overflow at large scores
             np.add.at(w, idx, (y - p) * delta)
         return pd.DataFrame({"shard": np.full(len(ids), pdf["shard"].iloc[0], dtype=np.int32),
                              "f": ids.astype(np.int32), "w": w})

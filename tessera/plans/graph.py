@@ -138,7 +138,7 @@ def ppr_missing(spark, sf):
 
 @register("ppr_topk", _ppr_sql(3) + f"""
 SELECT id, round(rank, {DIGITS}) AS rank, printf('%.5f', rank) AS rank_text FROM r3
-ORDER BY round(rank, {DIGITS}) DESC, id LIMIT 100""")
+ORDER BY CAST(printf('%.9e', rank) AS DOUBLE) DESC, id LIMIT 100""")
 def ppr_topk(spark, sf):
     state, edges = _state(spark, sf)
     return G.top_ranked(G.ppr_run(state, edges, SOURCES, 3), 100, DIGITS)

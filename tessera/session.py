@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
     else:
-        # Unset: a unit test or a single machine. A cluster always names a shared folder.
+        # Unset: a unit test or a single machine. A cluster must name a shared folder: a local one of
+        # the driver's is not seen by its executors.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -119,3 +119,16 @@ def test_step_counters_by_observe(spark):
     want = [sum(_py_ppr(ids, EDGES, ["1"], k).values()) for k in (1, 2, 3)]
     assert all(abs(m["mass"] - w) < 1e-12 for m, w in zip(metrics, want))
     assert abs(metrics[0]["mass"] - 1.0) < 1e-12 and metrics[2]["mass"] < 1.0
+
+
+def test_top_ranked_keeps_the_order_of_small_ranks(spark):
+    from tessera.operators.graph import top_ranked
+    df = spark.createDataFrame([("a", 1e-11), ("b", 2e-10), ("c", 4e-10)], "id string, rank double")
+    assert [r["id"] for r in top_ranked(df, 2).collect()] == ["c", "b"]
+
+
+def test_log_sum_exp_of_minus_infinity(spark):
+    from tessera.operators.graph import log_sum_exp
+    inf = float("-inf")
+    df = spark.createDataFrame([("a", inf), ("a", inf), ("b", inf), ("b", 0.0)], "k string, x double")
+    assert {r["k"]: r["lse"] for r in log_sum_exp(df, ["k"], "x").collect()} == {"a": inf, "b": 0.0}

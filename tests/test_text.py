@@ -150,3 +150,13 @@ def test_whole_text_tokenizer_equals_per_piece_form(spark):
     from conftest import SF001
     docs = read_table(spark, SF001, "documents")
     assert docs.where(tokenize(F.col("text")) != tokenize_per_piece(F.col("text"))).count() == 0
+
+
+def test_tokenizer_is_linear_in_a_long_run(spark):
+    import time
+    from pyspark.sql import functions as F
+    from tessera.functions.text import tokenize
+    df = spark.createDataFrame([("a" + "1" * 400_000 + "z " + "-" * 400_000 + "b",)], "t string")
+    began = time.time()
+    assert df.select(F.size(tokenize(F.col("t")))).first()[0] == 2
+    assert time.time() - began < 20
