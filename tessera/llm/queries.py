@@ -67,12 +67,19 @@ WITH d AS (
          coalesce(doc_id::VARCHAR, chr(0) || 'null') AS k FROM documents),
 s AS (
   SELECT doc_id, k, size, text, [{_DRAWS}] AS h FROM d),
+-- CRC-32 byte by byte: the table of the reflected polynomial, then one step for each byte.
+crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
 t AS (
-  SELECT doc_id, k, size, text,
+  SELECT doc_id, k, size,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS text_crc32,
          list_position(h[1:16], list_max(h[1:16])) - 1 AS shard,
          list_position(h, list_max(h)) - 1 AS grown_shard,
-         ('0x' || substr(md5(k || ':slot'), 1, 13))::BIGINT % 1024 AS part FROM s)
-SELECT doc_id, size, 'key' AS law, shard, grown_shard,
+         ('0x' || substr(md5(k || ':slot'), 1, 13))::BIGINT % 1024 AS part FROM s, crc)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
        row_number() OVER (PARTITION BY shard ORDER BY part, doc_id NULLS FIRST, size) - 1 AS slot
 FROM t""",
 }
