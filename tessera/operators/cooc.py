@@ -27,11 +27,6 @@ def line_frequency(words: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n_lines")))
 
 
-def pair_rows(words: DataFrame) -> DataFrame:
-    """Every ordered pair (x, y) of different words of one line."""
-    return _mirror(unordered_pair_rows(words))
-
-
 def unordered_pair_rows(words: DataFrame) -> DataFrame:
     """J6, each unordered pair once as (x, y) with x < y: two ``posexplode`` of the same
     (distinct) word array, positions i < j, inside the row."""

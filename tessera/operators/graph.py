@@ -145,11 +145,6 @@ def read_iteration(spark, base: str, iteration: int) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/iter={iteration}")
 
 
-def iteration_name(iteration: Column, width: int = 4) -> Column:
-    """Zero-padded iteration folder name ``iterNNNN`` for display."""
-    return F.concat(F.lit("iter"), F.lpad(iteration.cast("string"), width, "0"))
-
-
 def top_ranked(state: DataFrame, k: int = 100, digits: int = 9) -> DataFrame:
     """The ``k`` highest ranks (ties by id), with the ``%.5f`` text form. The order is that of the
     ranks themselves; ``digits`` only rounds what is shown.

@@ -150,11 +150,6 @@ def merge_stripes(a: DataFrame, b: DataFrame, key: str = "x") -> DataFrame:
         .alias("stripe"))
 
 
-def keep_partners(stripes: DataFrame, min_partners: int) -> DataFrame:
-    """F6/T16 on one-piece stripes: drop stripes with fewer than ``min_partners`` entries."""
-    return stripes.where(F.size("stripe") >= min_partners)
-
-
 def partition_number(key, n: int):
     """Visible partition number of a key, ``md5``-based so any engine agrees."""
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int")
