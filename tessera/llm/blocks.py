@@ -50,9 +50,9 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
-           limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut incoming batches into runs of rows of about ``limit`` text bytes (one row at least),
-    so that the arrays made from a run stay bounded however many rows a batch holds."""
+           limit: int = SLICE_BYTES, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Cut incoming batches into runs of at most ``rows`` rows and about ``limit`` text bytes (one row at
+    least), so that the arrays made from a run stay bounded however many rows a batch holds."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -60,7 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(off, off[start] + limit, side="right")) - 1
-            stop = min(max(stop, start + 1), batch.num_rows)
+            stop = min(max(stop, start + 1), start + rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -11,7 +11,8 @@ candidates, and the similarity of candidates is computed exactly.
 Equal texts are one class (by MD5). In each band bucket the text with the most company is a hub, and all
 members are verified against it; members that end up in another component than the hub become hubs in later
 rounds, a growing number at a time, until no two components of a bucket hold an unchecked pair. Pairs of
-these rounds must agree in ``AGREE`` of the registers (four bits of each) before their texts are read.
+these rounds must agree in ``AGREE`` of ``15 * len(SKETCH)`` further registers (four bits of each), which are
+made for texts of such buckets only, before their texts are read.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from .components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
-SKETCH = [f"s{i}" for i in range(8)]  # 15 registers each, four bits of each register
-AGREE = 86  # of the 120 registers, in four bits: 0.8 similar texts fall below with a chance of 0.004
+SKETCH = [f"s{i}" for i in range(32)]  # 15 registers each, four bits of each register
+AGREE = 367  # of the 480 registers, in four bits: 0.8 similar texts fall below with a chance of 0.004
 GROUP = 256  # members that are verified against one copy of a hub
 
 
@@ -56,7 +57,7 @@ def prob_min_hash(row: np.ndarray, el: np.ndarray, weight: np.ndarray, n_rows: i
     who = np.zeros(n_rows * m, np.uint64)
     latest = np.full(n_rows, np.inf)
     clock = np.zeros(len(el))
-    step = 0
+    step, due = 0, 1
     while len(el):
         step += 1
         draw = mix(el + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
@@ -67,8 +68,10 @@ def prob_min_hash(row: np.ndarray, el: np.ndarray, weight: np.ndarray, n_rows: i
         np.minimum.at(when, slot, clock)
         won = when[slot] == clock
         who[slot[won]] = el[won]
-        some = np.unique(row)
-        latest[some] = when.reshape(n_rows, m)[some].max(axis=1)
+        if step >= due:  # a bound that is renewed later only lets more arrivals pass
+            due = step + 1 + step // 8
+            some = np.unique(row)
+            latest[some] = when.reshape(n_rows, m)[some].max(axis=1)
     return who.reshape(n_rows, m)
 
 
@@ -89,14 +92,25 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             has = w.n > 0
             off = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(off), pa.array(full[has].reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], names=["key", "id", "bands"])
+
+    slim = docs.select(F.col(key).alias("key"), _id(F.col(text)).alias("id"), F.col(text).alias("text"))
+    return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>")
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(id, s0 ..): four bits of each of ``15 * len(SKETCH)`` registers of the texts (id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, rows=1 << 13):
+            row, el, n = shingles(words(part.column(1)))
+            reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 15 * len(SKETCH))
             nibble = (mix(reg) & np.uint64(15)).reshape(part.num_rows, -1, 15) << (np.arange(15, dtype=np.uint64) * np.uint64(4))
             sketch = np.bitwise_or.reduce(nibble, axis=2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), bands, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(8)]],
-                names=["key", "id", "bands", *SKETCH])
+                [part.column(0), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
+                names=["id", *SKETCH])
 
-    slim = docs.select(F.col(key).alias("key"), _id(F.col(text)).alias("id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("id", "text").mapInArrow(run, "id binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def _id(text):
@@ -192,10 +206,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
     pairs = pairs.withColumnsRenamed({"hub": "a", "id": "b"})
     edges = verify(pairs, texts, threshold).checkpoint()
     comp = components(edges).checkpoint()
-    # Buckets of three texts or more that still lie in several components.
-    sized = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    sketches = signed.select("id", *SKETCH).dropDuplicates(["id"])
-    members = members.join(sized.select("band"), "band", "left_semi").join(sketches, "id").checkpoint()
+    # Buckets of three texts or more that still lie in several components; the others are done.
+    apart = (members.join(comp, "id", "left").groupBy("band")
+             .agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce("comp", "id")).alias("low"),
+                  F.max(F.coalesce("comp", "id")).alias("top")).where("n > 2 and low <> top"))
+    members = members.join(apart.select("band"), "band", "left_semi").checkpoint()
+    sketches = _sketches(texts.join(members.select("id").distinct(), "id", "left_semi"))
+    members = members.join(sketches, "id").checkpoint()
     used = members.select("band", F.col("hub").alias("id")).distinct()
     done, hubs_at_once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), 4
     while True:
