@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_A_TASK = 50_000
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in one task for each ``ROWS_A_TASK`` of its ``rows`` rows, eight at least: a small table
+    does not leave a file behind for each shuffle partition, a large one keeps all of them."""
+    return df.coalesce(max(8, -(-rows // ROWS_A_TASK)))
+
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(id, comp) for every id in ``edges`` (a, b): ``comp`` is the smallest id of its component.
@@ -22,18 +30,20 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
         return pairs.join(least, "u")
 
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
+    rows = 2 * edges.count()
+    now = gathered(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+                   .distinct(), rows).checkpoint()
     seen = sign(now)
     for _ in range(max_rounds):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = star(both).where("v > u").select(F.col("v").alias("a"), F.col("low").alias("b")).distinct()
+        large = gathered(star(both).where("v > u").select(F.col("v").alias("a"), F.col("low").alias("b")), rows).distinct()
         # Every edge now points from a larger to a smaller id.
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        small = (star(down).select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("low").alias("b")),
+        small = gathered(star(down).select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("low").alias("b")),
                                                                 F.struct(F.col("v").alias("a"), F.col("low").alias("b")))).alias("e"))
-                 .select("e.a", "e.b").where("a <> b").distinct())
-        now = small.checkpoint()
+                         .select("e.a", "e.b").where("a <> b"), rows).distinct()
+        now = gathered(small, rows).checkpoint()
         after = sign(now)
         if after == seen:
             break

@@ -11,8 +11,8 @@ candidates, and the similarity of candidates is computed exactly.
 Equal texts are one class (by MD5). In each band bucket the text with the most company is a hub, and all
 members are verified against it; members that end up in another component than the hub become hubs in later
 rounds, a growing number at a time, until no two components of a bucket hold an unchecked pair. Pairs of
-these rounds must agree in ``AGREE`` of ``15 * len(SKETCH)`` further registers (four bits of each), which are
-made for texts of such buckets only, before their texts are read.
+these rounds must agree in ``AGREE`` of ``64 * len(SKETCH)`` further registers (one bit of each), which are made
+for texts of such buckets only, before their texts are read.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import _STEP, Words, mix, slices, words
-from .components import components
+from .components import components, gathered
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
-SKETCH = [f"s{i}" for i in range(32)]  # 15 registers each, four bits of each register
-AGREE = 367  # of the 480 registers, in four bits: 0.8 similar texts fall below with a chance of 0.004
+SKETCH = [f"s{i}" for i in range(16)]  # one bit of 64 registers each
+AGREE = 896  # of the 1024 bits: 0.8 similar texts agree in 922 on average and fall below with a chance of 0.004
 GROUP = 256  # members that are verified against one copy of a hub
 
 
@@ -99,13 +99,12 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _sketches(texts: DataFrame) -> DataFrame:
-    """(id, s0 ..): four bits of each of ``15 * len(SKETCH)`` registers of the texts (id, text)."""
+    """(id, s0 ..): one bit of each of ``64 * len(SKETCH)`` registers of the texts (id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, rows=1 << 13):
+        for part in slices(batches, rows=1 << 11):
             row, el, n = shingles(words(part.column(1)))
-            reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 15 * len(SKETCH))
-            nibble = (mix(reg) & np.uint64(15)).reshape(part.num_rows, -1, 15) << (np.arange(15, dtype=np.uint64) * np.uint64(4))
-            sketch = np.bitwise_or.reduce(nibble, axis=2).view(np.int64)
+            reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 64 * len(SKETCH))
+            sketch = np.packbits((mix(reg) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
                 names=["id", *SKETCH])
@@ -139,14 +138,11 @@ def prob_jaccard(a: tuple, b: tuple) -> float:
 
 
 def _agreeing() -> F.Column:
-    """Registers whose four bits are equal, of sketches ``s0 ..`` and ``h0 ..``."""
+    """Equal bits of sketches ``s0 ..`` and ``h0 ..``."""
     differ = F.lit(0)
     for c in SKETCH:
-        x = F.col(c).bitwiseXOR(F.col("h" + c[1:]))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111_1111_1111_1111)))
-    return F.lit(len(SKETCH) * 15) - differ
+        differ = differ + F.bit_count(F.col(c).bitwiseXOR(F.col("h" + c[1:])))
+    return F.lit(64 * len(SKETCH)) - differ
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -211,25 +207,28 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
              .agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce("comp", "id")).alias("low"),
                   F.max(F.coalesce("comp", "id")).alias("top")).where("n > 2 and low <> top"))
     members = members.join(apart.select("band"), "band", "left_semi").checkpoint()
-    sketches = _sketches(texts.join(members.select("id").distinct(), "id", "left_semi"))
-    members = members.join(sketches, "id").checkpoint()
+    rows = members.count()
+    members = gathered(members, rows)
+    texts = gathered(texts.join(members.select("id").distinct(), "id", "left_semi"), rows).checkpoint()
+    sketches = _sketches(texts).checkpoint()
     used = members.select("band", F.col("hub").alias("id")).distinct()
     done, hubs_at_once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), 4
     while True:
-        placed = (members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
+        placed = gathered(members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id")), rows).checkpoint()
         main = placed.where("id = hub").select("band", F.col("comp").alias("main"))
         todo = (placed.join(main, "band").where("comp <> main").join(used, ["band", "id"], "left_anti")
                 .withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(hubs_at_once))))
-        new = todo.groupBy("band", "slice").agg(F.max(F.struct("degree", "id", "comp", *SKETCH)).alias("h")).select(
-            "band", F.col("h.id").alias("a"), F.col("h.comp").alias("acomp"),
-            *[F.col(f"h.{c}").alias("h" + c[1:]) for c in SKETCH]).checkpoint()
+        new = gathered(todo.groupBy("band", "slice").agg(F.max(F.struct("degree", "id", "comp")).alias("h")).select(
+            "band", F.col("h.id").alias("a"), F.col("h.comp").alias("acomp")), rows).checkpoint()
         if new.isEmpty():
             break
-        fresh = (new.join(placed, "band").where((F.col("comp") != F.col("acomp")) & (_agreeing() >= AGREE)).select(
-            F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-            .join(done, ["a", "b"], "left_anti").checkpoint())
-        used = used.unionByName(new.select("band", F.col("a").alias("id"))).checkpoint()
-        found = verify(fresh, texts, threshold).checkpoint()
+        hub = new.join(sketches.select(F.col("id").alias("a"), *[F.col(c).alias("h" + c[1:]) for c in SKETCH]), "a")
+        fresh = hub.join(placed.select("band", "id", "comp").join(sketches, "id"), "band").where(
+            (F.col("comp") != F.col("acomp")) & (_agreeing() >= AGREE)).select(
+            F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        fresh = gathered(gathered(fresh, rows).distinct().join(done, ["a", "b"], "left_anti"), rows).checkpoint()
+        used = used.unionByName(new.select("band", F.col("a").alias("id")))
+        found = gathered(verify(fresh, texts, threshold), rows).checkpoint()
         done = done.unionByName(fresh)
         if not found.isEmpty():
             edges = edges.unionByName(found)
