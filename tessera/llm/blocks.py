@@ -121,6 +121,23 @@ def words(column: pa.Array) -> Words:
     return Words(data, off, start, np.flatnonzero(closes) + 1, np.searchsorted(start, off))
 
 
+def give_back() -> None:
+    """Hand memory that a finished task used back to the system. Python workers are reused, so what the
+    arrays of one task leave in the allocators would stay with the executor through all later stages."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def released(work, *tables):
+    """``work(*tables)``; what it used on the way is handed back before its result goes on."""
+    out = work(*tables)
+    give_back()
+    return out
+
+
 def free_name(taken: list[str], name: str) -> str:
     """A column name that no column of the input has (Spark names ignore case)."""
     low = {c.lower() for c in taken}

@@ -52,3 +52,20 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     top = now.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(top)
+
+
+def joined_components(comp: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, comp) after the edges ``found`` (a, b) were added to those behind ``comp``.
+
+    Only the components that ``found`` links are worked on, each as one node; an id that ``comp``
+    lacks is a component of its own.
+    """
+    ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
+    fresh = ends.join(comp, "id", "left_anti").select("id", F.col("id").alias("comp"))
+    every = comp.unionByName(fresh).checkpoint()
+    linked = (found.join(every.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a")
+              .join(every.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b")
+              .where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct().checkpoint())
+    moved = components(linked).select(F.col("id").alias("old"), F.col("comp").alias("new"))
+    return (every.join(moved, F.col("comp") == F.col("old"), "left")
+            .select("id", F.coalesce("new", "comp").alias("comp")))

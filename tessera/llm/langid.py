@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import give_back
+
 PIECE = 2000
 FINE = 400  # texts up to this many bytes are measured at more levels, to split ties
 LEVELS = (5, 6, 9, 12)
@@ -109,6 +111,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.0
             yield pa.RecordBatch.from_arrays(
                 cols + [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(rejects, pa.bool_())],
                 names=keep + ["lang_pred", "score", "rejected"])
+        give_back()
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 

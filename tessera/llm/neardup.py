@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import _STEP, Words, mix, slices, words
-from .components import components, gathered
+from .blocks import _STEP, Words, give_back, mix, slices, words
+from .components import components, gathered, joined_components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
@@ -79,20 +79,24 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, id, bands): MD5 of the text and its band keys (none for a text without words)."""
     key_type = docs.schema[key].dataType.simpleString()
 
+    def banded(part: pa.RecordBatch) -> pa.RecordBatch:
+        w = words(part.column(2))
+        row, el, n = shingles(w)
+        reg = prob_min_hash(row, el, n, part.num_rows, BANDS * ROWS)
+        full = np.zeros((part.num_rows, BANDS), np.uint64)
+        for b in range(BANDS):
+            for r in range(ROWS):
+                full[:, b] += reg[:, b * ROWS + r] * _STEP[r]
+            full[:, b] = mix(full[:, b] + np.uint64((b + 1) * int(_STEP[20]) % 2**64))
+        has = w.n > 0
+        off = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
+        bands = pa.ListArray.from_arrays(pa.array(off), pa.array(full[has].reshape(-1).view(np.int64)))
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], names=["key", "id", "bands"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            w = words(part.column(2))
-            row, el, n = shingles(w)
-            reg = prob_min_hash(row, el, n, part.num_rows, BANDS * ROWS)
-            full = np.zeros((part.num_rows, BANDS), np.uint64)
-            for b in range(BANDS):
-                for r in range(ROWS):
-                    full[:, b] += reg[:, b * ROWS + r] * _STEP[r]
-                full[:, b] = mix(full[:, b] + np.uint64((b + 1) * int(_STEP[20]) % 2**64))
-            has = w.n > 0
-            off = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(off), pa.array(full[has].reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], names=["key", "id", "bands"])
+            yield banded(part)
+        give_back()
 
     slim = docs.select(F.col(key).alias("key"), _id(F.col(text)).alias("id"), F.col(text).alias("text"))
     return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>")
@@ -100,14 +104,18 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _sketches(texts: DataFrame) -> DataFrame:
     """(id, s0 ..): one bit of each of ``64 * len(SKETCH)`` registers of the texts (id, text)."""
+    def sketched(part: pa.RecordBatch) -> pa.RecordBatch:
+        row, el, n = shingles(words(part.column(1)))
+        reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 64 * len(SKETCH))
+        sketch = np.packbits((mix(reg) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
+            names=["id", *SKETCH])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, rows=1 << 11):
-            row, el, n = shingles(words(part.column(1)))
-            reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 64 * len(SKETCH))
-            sketch = np.packbits((mix(reg) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
-                names=["id", *SKETCH])
+        for part in slices(batches, rows=1 << 9):
+            yield sketched(part)
+        give_back()
 
     return texts.select("id", "text").mapInArrow(run, "id binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
@@ -171,6 +179,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 else:
                     raise RuntimeError("a member came before its hub")
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
+        give_back()
 
     return (hub_rows.unionByName(member_rows).repartition("a", "part")
             .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
@@ -231,8 +240,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
         found = gathered(verify(fresh, texts, threshold), rows).checkpoint()
         done = done.unionByName(fresh)
         if not found.isEmpty():
-            edges = edges.unionByName(found)
-            comp = components(edges).checkpoint()
+            comp = joined_components(comp, found).checkpoint()
         hubs_at_once *= 16
     return (signed.select("key", "id").join(comp, "id", "left")
             .select(F.col("key").alias(key), "id", F.coalesce("comp", "id").alias("comp")))

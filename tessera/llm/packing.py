@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import give_back
+
 END = 1  # the id that closes a document
 _SPLIT = None
 _TOKENIZERS: dict[str, "Encoder"] = {}
@@ -53,6 +55,10 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the memo; a task does so when its rows end."""
+        self.young, self.old = {}, {}
+
     def _learn(self, runs: list[str]) -> None:
         young = self.young
         if len(young) > self.hold:
@@ -213,6 +219,8 @@ def _pack_rows(docs: DataFrame, key: str, text: str, size: int, open_windows: in
             emit(pieces, True)
         if rows:
             yield flush()
+        enc.forget()
+        give_back()
 
     schema = f"`{key}` {key_type}, " + COLUMNS + (", ids binary" if with_ids else "")
     return docs.select(key, text).mapInArrow(run, schema)

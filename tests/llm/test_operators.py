@@ -243,6 +243,17 @@ def test_components_of_chains_and_stars(spark):
 
 # ---------------------------------------------------------------- neighbours
 
+def test_edges_added_to_components(spark):
+    old = [(i, i + 1) for i in range(1, 6)] + [(10, 11), (20, 21), (30, 31)]
+    new = [(6, 21), (11, 40), (50, 51), (51, 52), (21, 2)]
+    first = components.components(spark.createDataFrame(old, "a long, b long")).checkpoint()
+    got = components.joined_components(first, spark.createDataFrame(new, "a long, b long"))
+    want = components.components(spark.createDataFrame(old + new, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    same = components.joined_components(first, spark.createDataFrame([(1, 4)], "a long, b long"))
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, first.collect()))
+
+
 def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95) == pytest.approx(15.507, abs=1e-3)
 
