@@ -55,9 +55,9 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def forget(self) -> None:
-        """Empty the memo; a task does so when its rows end."""
-        self.young, self.old = {}, {}
+    def shrink(self) -> None:
+        """Keep the larger generation of the memo only; a task does so when its rows end."""
+        self.young, self.old = max(self.young, self.old, key=len), {}
 
     def _learn(self, runs: list[str]) -> None:
         young = self.young
@@ -219,7 +219,7 @@ def _pack_rows(docs: DataFrame, key: str, text: str, size: int, open_windows: in
             emit(pieces, True)
         if rows:
             yield flush()
-        enc.forget()
+        enc.shrink()
         give_back()
 
     schema = f"`{key}` {key_type}, " + COLUMNS + (", ids binary" if with_ids else "")
