@@ -313,9 +313,9 @@ def _joined_means(slim: DataFrame, orders: list, text: str, lang: str) -> DataFr
     return every.groupBy("text_md5").agg((-F.sum(F.col("lp") * F.col("n")) / F.sum("n")).alias("logppl"))
 
 
-def bands(measured: DataFrame, reach: float = 4.0, least: float = 0.25) -> DataFrame:
+def bands(measured: DataFrame, reach: float = 2.5, least: float = 0.002) -> DataFrame:
     """(lang, low, high): quartiles of log perplexity, widened by ``reach`` times their distance
-    (``least`` at the smallest). Quartiles are read off a histogram of steps of 0.001, so they do not
+    (``least``, two steps of the histogram, at the smallest). Quartiles are read off a histogram of steps of 0.001, so they do not
     depend on the order of the rows."""
     hist = (measured.where("logppl is not null and not base_failed")
             .groupBy("lang", F.floor(F.col("logppl") * 1000).alias("b")).agg(F.count(F.lit(1)).alias("n")))

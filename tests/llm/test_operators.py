@@ -407,3 +407,22 @@ def test_perplexity_rejects_noise_and_keeps_prose(spark, empty):
     assert all(got[i]["kept"] for i in range(60)) and not got[100]["kept"] and not got[100]["base_failed"]
     assert got[101]["base_failed"] and not got[101]["kept"]
     assert perplexity.perplexity_report(empty).count() == 0
+
+
+def test_perplexity_rejects_junk_of_ordinary_letters(spark):
+    """Menu lines and strings of long words are spelled as the prose is; both pass the base rules."""
+    rng = np.random.default_rng(12)
+    parts, small = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"], ["the", "of", "and", "is", "to"]
+
+    def long(n):
+        return ["".join(rng.choice(parts, rng.integers(2, 5))) for _ in range(n)]
+
+    def clean():
+        return " ".join(w if rng.random() < 0.6 else str(rng.choice(small)) for w in long(150)) + "."
+    rows = [(i, clean(), "en") for i in range(200)]
+    rows += [(1000 + i, " | ".join(long(75)), "en") for i in range(6)]
+    rows += [(2000 + i, " ".join(long(100)), "en") for i in range(6)]
+    got = perplexity.perplexity_report(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 1000)
+    assert sum(not r["kept"] for r in got if r["doc_id"] < 1000) <= 4
