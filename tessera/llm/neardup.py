@@ -12,7 +12,8 @@ Equal texts are one class (by MD5). In each band bucket the text with the most c
 members are verified against it; members that end up in another component than the hub become hubs in later
 rounds, a growing number at a time, until no two components of a bucket hold an unchecked pair. Pairs of
 these rounds must agree in ``AGREE`` of ``64 * len(SKETCH)`` further registers (one bit of each), which are made
-for texts of such buckets only, before their texts are read.
+for texts of such buckets only, before their texts are read; pairs with a text of ``FEW`` shingles or fewer
+are verified without that.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 SKETCH = [f"s{i}" for i in range(16)]  # one bit of 64 registers each
 AGREE = 896  # of the 1024 bits: 0.8 similar texts agree in 922 on average and fall below with a chance of 0.004
+FEW = 16
 GROUP = 256  # members that are verified against one copy of a hub
 
 
@@ -102,22 +104,30 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return slim.mapInArrow(run, f"key {key_type}, id binary, bands array<long>")
 
 
+def sketch_bits(row: np.ndarray, el: np.ndarray, weight: np.ndarray, n_rows: int) -> np.ndarray:
+    """One bit of each of ``64 * len(SKETCH)`` registers, 64 in a number. A bit depends on the register too:
+    one shingle wins many registers of a short text, and must not give them all the same bit."""
+    m = 64 * len(SKETCH)
+    reg = prob_min_hash(row, mix(el ^ _STEP[21]), weight, n_rows, m)
+    return np.packbits((mix(reg ^ mix(np.arange(m, dtype=np.uint64))) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+
+
 def _sketches(texts: DataFrame) -> DataFrame:
-    """(id, s0 ..): one bit of each of ``64 * len(SKETCH)`` registers of the texts (id, text)."""
+    """(id, few, s0 ..): ``sketch_bits`` of the texts (id, text), and whether one has ``FEW`` shingles at most."""
     def sketched(part: pa.RecordBatch) -> pa.RecordBatch:
         row, el, n = shingles(words(part.column(1)))
-        reg = prob_min_hash(row, mix(el ^ _STEP[21]), n, part.num_rows, 64 * len(SKETCH))
-        sketch = np.packbits((mix(reg) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+        sketch = sketch_bits(row, el, n, part.num_rows)
+        few = np.bincount(row, minlength=part.num_rows) <= FEW
         return pa.RecordBatch.from_arrays(
-            [part.column(0), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
-            names=["id", *SKETCH])
+            [part.column(0), pa.array(few), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))]],
+            names=["id", "few", *SKETCH])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, rows=1 << 9):
             yield sketched(part)
         give_back()
 
-    return texts.select("id", "text").mapInArrow(run, "id binary, " + ", ".join(f"{c} long" for c in SKETCH))
+    return texts.select("id", "text").mapInArrow(run, "id binary, few boolean, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def _id(text):
@@ -231,9 +241,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id"
             "band", F.col("h.id").alias("a"), F.col("h.comp").alias("acomp")), rows).checkpoint()
         if new.isEmpty():
             break
-        hub = new.join(sketches.select(F.col("id").alias("a"), *[F.col(c).alias("h" + c[1:]) for c in SKETCH]), "a")
+        hub = new.join(sketches.select(F.col("id").alias("a"), F.col("few").alias("hfew"), *[F.col(c).alias("h" + c[1:]) for c in SKETCH]), "a")
         fresh = hub.join(placed.select("band", "id", "comp").join(sketches, "id"), "band").where(
-            (F.col("comp") != F.col("acomp")) & (_agreeing() >= AGREE)).select(
+            (F.col("comp") != F.col("acomp")) & (F.col("few") | F.col("hfew") | (_agreeing() >= AGREE))).select(
             F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
         fresh = gathered(gathered(fresh, rows).distinct().join(done, ["a", "b"], "left_anti"), rows).checkpoint()
         used = used.unionByName(new.select("band", F.col("a").alias("id")))

@@ -235,6 +235,27 @@ def test_links_beside_the_hub_are_found(spark):
     assert got == {i: i // 10 * 10 for i, _ in rows}
 
 
+@pytest.mark.parametrize("shared, left, right", [(4, 1, 0), (9, 1, 1), (13, 2, 1), (17, 2, 2), (21, 5, 0), (81, 10, 9)])
+def test_agreement_loses_few_pairs_of_any_size(shared, left, right):
+    """Pairs of similarity 0.8 or just above stay, however few shingles they have."""
+    rng, pairs = np.random.default_rng(21), 400
+    row, el = [], []
+    for i in range(pairs):
+        own = rng.integers(1, 2**63, shared + left + right, dtype=np.uint64)
+        for k, mine in enumerate([own[:shared + left], np.concatenate([own[:shared], own[shared + left:]])]):
+            row.append(np.full(len(mine), 2 * i + k)), el.append(mine)
+    row, el = np.concatenate(row), np.concatenate(el)
+    bits = neardup.sketch_bits(row, el, np.ones(len(el)), 2 * pairs)
+    agree = 1024 - np.bitwise_count((bits[::2] ^ bits[1::2]).view(np.uint64)).sum(axis=1)
+    assert (agree < neardup.AGREE).mean() <= 0.02
+
+
+def test_short_texts_are_verified_without_the_sketch(spark):
+    rows = [(b"a", prose(20, 1)), (b"b", prose(21, 2)), (b"c", "two words")]
+    got = {bytes(r["id"]): r["few"] for r in neardup._sketches(spark.createDataFrame(rows, "id binary, text string")).collect()}
+    assert got == {b"a": True, b"b": False, b"c": True}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["id"]: r["comp"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
