@@ -3,8 +3,9 @@
 1. From a bounded sample of labelled rows, near copies removed, every word and word beginning is
    counted in toxic and in other documents (a Spark aggregation). Entries of the lexicon are the
    words, or open stems, that toxic documents favour strongly.
-2. Each word of a text runs through the trie of the lexicon together with the Levenshtein automaton
-   of one edit (words of ``MIN_FUZZY`` letters or more), so misspelled entries are found too.
+2. Each word of a text runs through the trie of the lexicon, words and stems, together with the
+   Levenshtein automaton of one edit or swap (entries of ``MIN_FUZZY`` letters or more), so misspelled
+   entries and misspelled forms of a stem are found too.
 3. Hits are weighed by their context: inside quotation marks or not, and how many hits stand within
    ``WINDOW`` words. A small logistic regression turns these into a score from 0 to 1.
 """
@@ -32,25 +33,33 @@ MEMO = 200_000
 
 
 class Lexicon:
-    """Entries: {string: weight}. A string that ends in ``$`` is a whole word, others are stems
-    (any continuation matches). Stems match exactly, words within one edit."""
+    """Entries: {string: weight}. A string that ends in ``$`` is a whole word, others are stems (any
+    continuation matches). Words of ``MIN_FUZZY`` letters or more match within one edit: a letter
+    missing, added or replaced. With ``loose``, which ``train`` sets, so do stems, and two neighbouring
+    letters that changed places are one edit."""
 
-    def __init__(self, entries: dict[str, float]):
+    def __init__(self, entries: dict[str, float], loose: bool = False):
         self.stems = {e: w for e, w in entries.items() if not e.endswith("$")}
         self.stem_sizes = sorted({len(s) for s in self.stems})
         self.words = {e[:-1]: w for e, w in entries.items() if e.endswith("$")}
+        self.loose = loose
         self.trie: dict = {}
         self.memo: dict = {}
-        for word, weight in self.words.items():
-            node = self.trie
-            for ch in word:
-                node = node.setdefault(ch, {})
-            node["$"] = weight
-        # One edit leaves the first or the second half of a word whole: a cheap test before the walk.
-        fuzzy = [w for w in self.words if len(w) >= MIN_FUZZY]
-        self.heads, self.tails = {w[:len(w) // 2] for w in fuzzy}, {w[len(w) // 2:] for w in fuzzy}
-        self.head_sizes, self.tail_sizes = sorted({len(x) for x in self.heads}), sorted({len(x) for x in self.tails})
-        self.sizes = {len(w) + d for w in fuzzy for d in (-1, 0, 1)}
+        marks = [(self.words, "$"), (self.stems, "*")][:1 + loose]
+        for kind, mark in marks:
+            for entry, weight in kind.items():
+                node = self.trie
+                for ch in entry:
+                    node = node.setdefault(ch, {})
+                node[mark] = weight
+        # One edit leaves the first or the second half of an entry whole, a swap in the middle all but the
+        # letters beside it: a cheap test before the walk. The second half starts at most one letter off.
+        self.heads, self.tails = set(), {}
+        for entry in [x for kind, _ in marks for x in kind if len(x) >= MIN_FUZZY]:
+            h = len(entry) // 2
+            self.heads |= {entry[:h], entry[:h - 1] + entry[h]} if loose else {entry[:h]}
+            self.tails.setdefault((h, len(entry) - h), set()).add(entry[h:])
+        self.head_sizes = sorted({len(x) for x in self.heads})
 
     def find(self, word: str) -> tuple[int, float] | None:
         """(edits, weight) of the best entry for a lower-case word, or None."""
@@ -61,8 +70,8 @@ class Lexicon:
             w = self.stems.get(word[:n])
             if w is not None and len(word) >= n:
                 return 0, w
-        if len(word) not in self.sizes or not (any(word[:n] in self.heads for n in self.head_sizes)
-                                               or any(word[-n:] in self.tails for n in self.tail_sizes)):
+        if not (any(word[:n] in self.heads for n in self.head_sizes)
+                or any(word[h + d:h + d + n] in some for (h, n), some in self.tails.items() for d in (-1, 0, 1))):
             return None
         found = self._walk(word)
         return (1, found) if found is not None else None
@@ -78,19 +87,26 @@ class Lexicon:
 
     def _walk(self, word: str) -> float | None:
         """Walk trie and automaton together. A state of the automaton is the set of (letters of
-        ``word`` read, edits made), at most one edit."""
+        ``word`` read, edits made), at most one edit; 2 edits stand for a swap whose second letter is due."""
         best = None
         stack = [(self.trie, frozenset({(0, 0), (1, 1)}), 0)]
         n = len(word)
         while stack:
             node, state, depth = stack.pop()
-            if "$" in node and depth >= MIN_FUZZY and any(i == n or (i == n - 1 and e == 0) for i, e in state):
-                best = max(best or node["$"], node["$"])
+            if depth >= MIN_FUZZY:
+                if "$" in node and any((i == n and e < 2) or (i == n - 1 and e == 0) for i, e in state):
+                    best = max(best or node["$"], node["$"])
+                if "*" in node and any(i <= n and e < 2 for i, e in state):
+                    best = max(best or node["*"], node["*"])
             for ch, child in node.items():
-                if ch == "$":
+                if ch in "$*":
                     continue
                 new = set()
                 for i, e in state:
+                    if e == 2:
+                        if word[i] == ch:
+                            new.add((i + 2, 1))     # the second of two letters that changed places
+                        continue
                     if i < n and word[i] == ch:
                         new.add((i + 1, e))
                     if e == 0:
@@ -99,6 +115,8 @@ class Lexicon:
                             new.add((i + 1, 1))     # another letter stands in its place
                         if i + 1 < n and word[i + 1] == ch:
                             new.add((i + 2, 1))     # an extra letter in the word
+                            if self.loose:
+                                new.add((i, 2))
                 if new:
                     stack.append((child, frozenset(new), depth + 1))
         return best
@@ -246,7 +264,7 @@ def train(labelled: DataFrame, max_terms: int = 20000) -> tuple[Lexicon, np.ndar
     rows = (single.select("toxic", F.explode("terms").alias("term")).groupBy("term")
             .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
             .where("t >= 4 and t * 5 > c").orderBy(F.desc("t"), "term").limit(max_terms).collect())
-    lexicon = Lexicon(choose_entries({r["term"]: (r["t"], r["c"]) for r in rows}, toxic, other))
+    lexicon = Lexicon(choose_entries({r["term"]: (r["t"], r["c"]) for r in rows}, toxic, other), loose=True)
     seen = _featured(spread, lexicon, ["toxic"], None).collect()
     if not seen:
         return lexicon, np.array([0.0] * FEATURES + [-3.0])

@@ -365,6 +365,35 @@ def test_levenshtein_walk_equals_the_distance():
     assert lex.find("loweischaft") == (0, 3.0) and lex.find("abd") is None
 
 
+@pytest.mark.parametrize("stem, forms", [
+    ("stupid", ["sutpidity", "stpidly", "stuupidest", "stubidness", "stuipdity"]),                     # en
+    ("dummkopf", ["dumkopfes", "dummkpofe", "dummmkopfen", "dunmkopfs", "dumkmopf"]),                  # de
+    ("imbécil", ["imbéciil", "imbcilidad", "imébciles", "inbécilmente"]),                               # es
+    ("crétin", ["crétn", "cértinerie", "créttin", "cretinisme", "crrétins"])])                           # fr
+def test_misspelled_inflections_of_stems(stem, forms):
+    lex = toxicity.Lexicon({stem: 2.0, "abcd": 1.0}, loose=True)
+    assert lex.find(stem + "xyz") == (0, 2.0)
+    assert [lex.find(f) for f in forms] == [(1, 2.0)] * len(forms)
+    assert lex.find(stem[2:] + "xyz") is None and lex.find(stem[::-1]) is None and lex.find("abxdef") is None
+
+
+def test_stems_within_one_edit_by_definition():
+    """Every word against all ways to make one edit or swap in the stem."""
+    stem, letters, rng = "abcdef", "abcdefx", np.random.default_rng(3)
+    near = {stem[:i] + stem[i + 1:] for i in range(6)} | {stem[:i] + c + stem[i:] for i in range(7) for c in letters}
+    near |= {stem[:i] + c + stem[i + 1:] for i in range(6) for c in letters}
+    near |= {stem[:i] + stem[i + 1] + stem[i] + stem[i + 2:] for i in range(5)}
+    lex = toxicity.Lexicon({stem: 1.0}, loose=True)
+    for _ in range(4000):
+        w = list(stem + "xx")
+        for _ in range(rng.integers(0, 4)):
+            p = int(rng.integers(0, len(w)))
+            w[p:p + int(rng.integers(0, 3))] = list(rng.choice(list(letters), int(rng.integers(0, 3))))
+            w = w or ["x"]
+        word = "".join(w)
+        assert (lex.find(word) is not None) == any(word.startswith(x) for x in near), word
+
+
 def test_toxicity_learns_words_and_stems(spark, empty):
     rng = np.random.default_rng(9)
     rows, labels = [], []
