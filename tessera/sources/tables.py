@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,30 +64,60 @@ LINEITEM_SCHEMA = T.StructType([
 ])
 
 
+_ESCAPES = [("\n", "\\n"), ("\r", "\\r")]
+_NULL = "\\N"
+
+
+def _check_sep(sep: str) -> None:
+    if not sep or sep[0] in "\\bsnrN\n\r":
+        raise ValueError(f"separator {sep!r} cannot be told from the escapes")
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
-    """Write a table as delimited text, timestamps as ``yyyy-MM-dd`` strings (TPC-H ``.tbl`` style)."""
+    """Write a table as delimited text, timestamps as ``yyyy-MM-dd`` strings (TPC-H ``.tbl`` style).
+
+    In values, a backslash is written as ``\\b``, the (first character of the) separator as ``\\s``, line
+    breaks as ``\\n`` and ``\\r``; null is ``\\N``, an empty string an empty field. Quotes are plain characters.
+    """
+    _check_sep(sep)
     cols = []
     for f in df.schema.fields:
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+            raise ValueError(f"column {f.name} has no delimited form")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
+            c = F.date_format(F.col(f.name), "yyyy-MM-dd")
         else:
-            cols.append(F.col(f.name))
-    df.select(*cols).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
+            c = F.col(f.name).cast("string")
+        for plain, written in [("\\", "\\b"), (sep[0], "\\s"), *_ESCAPES]:
+            c = F.replace(c, F.lit(plain), F.lit(written))
+        cols.append(F.coalesce(c, F.lit(_NULL)))
+    df.select(F.concat_ws(sep, *cols).alias("value")).write.mode("overwrite").text(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
-    """SRC3/T2/F9: delimited text by position, with a fixed schema.
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
+                   rejected: Observation | None = None) -> DataFrame:
+    """SRC3/T2/F9: delimited text by position, with a fixed schema and the escapes of ``write_delimited``.
 
     A line must have exactly one field per schema column (a trailing separator, as in
     TPC-H ``.tbl`` files, is allowed); other lines are dropped whatever columns the
     query reads (the CSV reader's ``DROPMALFORMED`` only checks the columns a query
-    needs, so a ``count()`` would keep them). A field that does not cast is null.
+    needs, so a ``count()`` would keep them). Their number is ``rejected.get["rejected"]`` after the
+    first action on the result. A field that does not cast is null.
     """
+    _check_sep(sep)
     n = len(schema.fields)
     p = F.split(F.col("value"), re.escape(sep), -1)
     ok = (F.size(p) == n) | ((F.size(p) == n + 1) & (F.element_at(p, -1) == ""))
-    return (spark.read.text(path).select(p.alias("p")).where(ok)
-            .select(*[F.col("p")[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]))
+    lines = spark.read.text(path)
+    if rejected is not None:
+        lines = lines.observe(rejected, F.count_if(~ok).alias("rejected"))
+
+    def value(i, f):
+        c = F.col("p")[i]
+        for plain, written in [(sep[0], "\\s"), *_ESCAPES, ("\\", "\\b")]:
+            c = F.replace(c, F.lit(written), F.lit(plain))
+        return F.when(F.col("p")[i] != _NULL, c).try_cast(f.dataType).alias(f.name)
+    return lines.select(p.alias("p")).where(ok).select(*[value(i, f) for i, f in enumerate(schema.fields)])
 
 
 # ---------------------------------------------------------------- adjacency text (SRC5)

@@ -1,7 +1,9 @@
 """Look-ups, co-group, semi join, strict mode, delimited round trip, pushdown."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import relational as R
 from tessera.sources.tables import LINEITEM_SCHEMA, read_delimited, read_table, write_delimited
@@ -64,3 +66,23 @@ def test_delimited_round_trip_drops_malformed(spark, tmp_dir):
     assert back.where(F.col("l_orderkey").isNull()).count() == 1
     assert back.where(F.col("l_shipdate") == "1996-11-01").count() - 1 == \
         li.where(R.date_equals(li, "l_shipdate", "1996-11-01")).count()
+
+
+def test_delimited_round_trip_of_odd_values(spark, tmp_dir):
+    odd = ["a|b", "two\nlines", "cr\r\nlf", '"quoted"', 'in "side"', "back\\slash", "\\N", "\\n", "\\s|\\b", "", None, " x ", "|", "\\"]
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    rows = [(i if i % 4 else None, a, odd[-1 - i]) for i, a in enumerate(odd)]
+    for sep in ("|", "||", ","):
+        path = f"{tmp_dir}/odd{len(sep)}{ord(sep[0])}"
+        write_delimited(spark.createDataFrame(rows, schema), path, sep)
+        with open(path + "/part-extra.txt", "w") as f:
+            f.write(f"1{sep}short\n2{sep}x{sep}y{sep}long{sep}z\n3{sep}x{sep}y{sep}\n")
+        seen = Observation()
+        back = [tuple(r) for r in read_delimited(spark, path, schema, sep, rejected=seen).collect()]
+        assert sorted(back, key=repr) == sorted([*rows, (3, "x", "y")], key=repr)
+        assert seen.get["rejected"] == 2
+    one = schema.fields[1:2]
+    write_delimited(spark.createDataFrame([("",), (None,), ("x",)], T.StructType(one)), tmp_dir + "/one")
+    assert sorted(map(repr, (r[0] for r in read_delimited(spark, tmp_dir + "/one", T.StructType(one)).collect()))) == ["''", "'x'", "None"]
+    with pytest.raises(ValueError):
+        write_delimited(spark.createDataFrame(rows, schema), tmp_dir + "/no", "\\")
