@@ -43,7 +43,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: SQL has neither compression by dictionary nor tokenizers: tested against a brute-force version.
+#: SQL has neither compression by dictionary nor tokenizers: its operators are tested one by one (``tests/llm/``).
 ORACLE_SQL = None
 
 
