@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 from tessera.sources.tables import TABLES
 
-from conftest import SF001
+from table_paths import SF001
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tessera.operators import relational as R
 from tessera.sources.tables import LINEITEM_SCHEMA, read_delimited, read_table, write_delimited
 
-from conftest import SF001
+from table_paths import SF001
 
 
 def _li(spark, rows):

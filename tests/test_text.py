@@ -147,7 +147,7 @@ def test_adaptive_stripe_pieces_are_bounded(spark):
 def test_whole_text_tokenizer_equals_per_piece_form(spark):
     from tessera.functions.text import tokenize_per_piece
     from tessera.sources.tables import read_table
-    from conftest import SF001
+    from table_paths import SF001
     docs = read_table(spark, SF001, "documents")
     assert docs.where(tokenize(F.col("text")) != tokenize_per_piece(F.col("text"))).count() == 0
 
