@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (langid, mixing, neardup, neighbours, packing, perplexity, quality, sharding, substrings, suffixes, toxicity,
-               whitening)
+from . import (langid, mixing, neardup, negatives, neighbours, packing, perplexity, quality, sharding, substrings, suffixes,
+               toxicity, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_zone_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
 
@@ -65,7 +69,7 @@ def op13_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_probminhash, op3_entropy_balancing, op4_stable_projections, op5_rendezvous,
     op6_compression_langid, op7_ordinal_quality, op8_levenshtein_toxicity, op9_perplexity, op10_phrase_automata,
-    op12_chebyshev_whitening, op13_suffix_sort)}
+    op11_zone_negatives, op12_chebyshev_whitening, op13_suffix_sort)}
 
 _HEX = "('0x' || substr(md5(k || ':{s}'), 1, 13))::BIGINT"
 _DRAWS = ", ".join(_HEX.format(s=s) for s in range(17))
