@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,8 +148,10 @@ def merge_sort(text: Prefix, at: np.ndarray, order: np.ndarray, group: np.ndarra
     return order
 
 
-def _steps(depth: int) -> list[int]:
-    return [*range(0, depth - 8, 8), depth - 8]
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int, rows: int = 1 << 15) -> bool:
+    """Whether ``depth`` bytes agree from each place of ``a`` and its one of ``b``."""
+    view = np.lib.stride_tricks.sliding_window_view(data, depth)
+    return all(np.array_equal(view[a[i:i + rows]], view[b[i:i + rows]]) for i in range(0, len(a), rows))
 
 
 def suffix_classes(data: np.ndarray, at: np.ndarray, depth: int = WINDOW) -> np.ndarray:
@@ -168,9 +171,9 @@ def suffix_classes(data: np.ndarray, at: np.ndarray, depth: int = WINDOW) -> np.
     a, b = at[by[pairs - 1]], at[by[pairs]]
     same = compare(text, a, b, 16, depth) == 0
     fresh[pairs] = ~same
-    if not np.logical_and.reduce([_words(data, a[same] + k) == _words(data, b[same] + k) for k in _steps(depth)]).all():
+    if not _same_bytes(data, a[same], b[same], depth):
         # Two hashes collided: sort by the bytes themselves.
-        words = [_words(data, at + k) for k in _steps(depth)]
+        words = [_words(data, at + k) for k in [*range(0, depth - 8, 8), depth - 8]]
         by = np.lexsort(words[::-1])
         fresh[1:] = np.logical_or.reduce([w[by[1:]] != w[by[:-1]] for w in words])
     out = np.empty(len(at), np.int64)
@@ -337,23 +340,37 @@ def _segments(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     if not table.num_rows:
         return _send(0, buckets, np.zeros(0, np.int64), [lambda p: b""] * 3)
     s = Sent(Chunk(table), replies, buckets)
+    small = zstandard.ZstdCompressor(level=1).compress
     return _send(table["__chunk"][0].as_py(), buckets, s.bucket, [
-        lambda p: b"".join([s.texts[i] for i in p.tolist()]), lambda p: s.n[p].astype(np.uint32).tobytes(), lambda p: s.low[p].tobytes()])
+        lambda p: small(b"".join([s.texts[i] for i in p.tolist()])), lambda p: small(s.n[p].astype(np.uint32).tobytes()),
+        lambda p: small(s.low[p].tobytes())])
 
 
 def _answer_segments(table: pa.Table) -> pa.Table:
-    """For each window of each segment: does a smaller id hold it?"""
-    data = np.frombuffer(b"".join(table["x0"].to_pylist()), np.uint8)
-    per_row = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table["x1"].to_pylist()]
-    n = np.concatenate(per_row)
-    ids = np.concatenate([np.frombuffer(x, np.int64) for x in table["x2"].to_pylist()])
-    length = n + WINDOW - 1
-    at = _expand(np.concatenate([[0], np.cumsum(length)[:-1]]), n)
-    kind = suffix_classes(data, at)
-    own = np.repeat(ids, n)
-    low = np.full(int(kind.max()) + 1, LAST)
-    np.minimum.at(low, kind, own)
-    return _answers(table, _WINDOWS, [low[kind] < own], [int(x.sum()) for x in per_row])
+    """For each window of each segment: does a smaller id hold it? Equal segments of several chunks are sorted once."""
+    large = zstandard.ZstdDecompressor().decompress
+    per_row = [np.frombuffer(large(x), np.uint32).astype(np.int64) for x in table["x1"].to_pylist()]
+    ids = np.concatenate([np.frombuffer(large(x), np.int64) for x in table["x2"].to_pylist()])
+    seen: dict[bytes, int] = {}
+    which = np.empty(len(ids), np.int64)
+    i = 0
+    for x, n in zip(table["x0"].to_pylist(), per_row):
+        raw, ends = large(x), np.cumsum(n + WINDOW - 1).tolist()
+        for a, b in zip([0, *ends], ends):
+            which[i] = seen.setdefault(raw[a:b], len(seen))
+            i += 1
+    low = np.full(len(seen), LAST)
+    np.minimum.at(low, which, ids)
+    data = np.frombuffer(b"".join(seen), np.uint8)
+    n = np.fromiter(map(len, seen), np.int64, len(seen)) - (WINDOW - 1)
+    del seen
+    first = np.concatenate([[0], np.cumsum(n)[:-1]])  # of a segment's windows
+    kind = suffix_classes(data, _expand(np.concatenate([[0], np.cumsum(n + WINDOW - 1)[:-1]]), n))
+    least = np.full(int(kind.max()) + 1, LAST)
+    np.minimum.at(least, kind, np.repeat(low, n))
+    least = least[kind]
+    sent = n[which]
+    return _answers(table, _WINDOWS, [least[_expand(first[which], sent)] < np.repeat(ids, sent)], [int(x.sum()) for x in per_row])
 
 
 def _remove(table: pa.Table, replies: pa.Table, buckets: int, keep: int, names: list[str]) -> pa.Table:
@@ -392,7 +409,7 @@ def _remove(table: pa.Table, replies: pa.Table, buckets: int, keep: int, names:
 
 
 def remove_repeated_bytes(docs: DataFrame, keep: list[str] = ("doc_id",), key: str = "doc_id", text: str = "text",
-                          chunk_bytes: int = 2 << 20, hot: int = 64) -> DataFrame:
+                          chunk_bytes: int = 2 << 20, hot: int = 256) -> DataFrame:
     """``keep`` columns of every row of ``docs``, n_bytes, n_removed, kept (binary: the bytes that stay) and removed
     (spans of byte places, end excluded).
 
