@@ -1,7 +1,7 @@
 """Word co-occurrence inside a line and pointwise mutual information (pairs and stripes).
 
 A line contributes the distinct words among its first 40 tokens. Pairs are generated
-inside each row with two ``explode``s (at most 40*39 per line): no self-join, no shuffle
+inside each row with two ``explode``s (at most 40*39/2 per line): no self-join, no shuffle
 until the pair counts, which are partially aggregated per task first.
 """
 
@@ -28,11 +28,12 @@ def line_frequency(words: DataFrame) -> DataFrame:
 
 
 def unordered_pair_rows(words: DataFrame) -> DataFrame:
-    """J6, each unordered pair once as (x, y) with x < y: two ``posexplode`` of the same
-    (distinct) word array, positions i < j, inside the row."""
-    a = words.select(F.posexplode_outer("words").alias("i", "a"), "words").where(nonempty("a"))
-    b = a.select("i", "a", F.posexplode_outer("words").alias("j", "b")).where(F.col("i") < F.col("j"))
-    return b.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    """J6, each unordered pair once as (x, y) with x < y: each word of the sorted (distinct) array with the rest of the
+    array after it, inside the row."""
+    a = (words.select(F.array_sort("words").alias("words"))
+         .select(F.posexplode_outer("words").alias("i", "x"), "words").where(nonempty("x")))
+    rest = F.slice("words", F.col("i") + 2, F.greatest(F.size("words") - F.col("i") - 1, F.lit(0)))
+    return a.select("x", F.explode_outer(rest).alias("y")).where(nonempty("y"))
 
 
 def _mirror(df: DataFrame) -> DataFrame:

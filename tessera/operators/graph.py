@@ -5,15 +5,25 @@ node with out-edges sends ``rank / out_degree`` along each edge (a join of the e
 with the ranks, then a partially aggregated ``groupBy(dst)``); the mass of dangling nodes
 is one scalar subquery and goes to the sources; ``new = (1 - alpha) * received`` plus
 ``alpha / |S|`` on a source. Mass sent to a node without structure vanishes (left join
-from the node table). Loops checkpoint every step into the shared checkpoint folder.
+from the node table) and is counted.
+
+Through all steps the state lies bucketed on ``id`` and the edges of ordinary nodes on ``src``
+alike, so that of a step's joins only the received sums are shuffled. The edges of
+hubs (few by definition) lie spread over all partitions and get their shares by broadcast.
+Every step is stored below the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.sources.sinks import write_iteration
+from tessera.operators.words import partition_number
+from tessera.session import scratch_path
+from tessera.sources.sinks import iteration_path
 
 ALPHA = 0.15  # teleport probability
 
@@ -41,14 +51,30 @@ def _is_source(sources: list[str]) -> Column:
 
 
 def build_state(nodes: DataFrame, edges: DataFrame, sources: list[str]) -> DataFrame:
-    """G1: (id, out_degree, rank) with ``1/|S|`` on each source and 0 elsewhere."""
+    """G1: (id, out_degree, rank) with ``1/|S|`` on each source and 0 elsewhere.
+
+    A17: a node listed twice in ``nodes`` raises. Listings and out-edges are counted by one aggregation; edges of a
+    node that is not listed are left out."""
     if not sources:
         raise ValueError("personalized PageRank needs at least one source")
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    return (nodes.join(deg, nodes["id"] == deg["src"], "left")
-            .select("id", F.coalesce("out_degree", F.lit(0)).cast("bigint").alias("out_degree"),
-                    F.when(_is_source(sources), F.lit(1.0 / len(sources))).otherwise(F.lit(0.0))
-                    .alias("rank")))
+    both = (nodes.select("id", F.lit(1).alias("listed"), F.lit(0).alias("out"))
+            .unionByName(edges.select(F.col("src").alias("id"), F.lit(0).alias("listed"), F.lit(1).alias("out"))))
+    return (both.groupBy("id").agg(_once(F.sum("listed")).alias("listed"), F.sum("out").alias("out_degree"))
+            .where(F.col("listed") > 0)
+            .select("id", "out_degree", F.when(_is_source(sources), F.lit(1.0 / len(sources))).otherwise(F.lit(0.0)).alias("rank")))
+
+
+def _once(n: Column) -> Column:
+    """A count of listings; more than one raises."""
+    message = F.concat(F.lit("node listed twice: "), F.col("id").cast("string"))
+    return F.when(n > 1, F.raise_error(message).cast("bigint")).otherwise(n)
+
+
+def unique_nodes(state: DataFrame) -> DataFrame:
+    """The rows of a node table; an id that stands there twice raises."""
+    cols = [c for c in state.columns if c != "id"]
+    return (state.groupBy("id").agg(_once(F.count(F.lit(1))).alias("_n"), *[F.first(c).alias(c) for c in cols])
+            .where(F.col("_n") == 1).select(*state.columns))
 
 
 def graph_stats(state: DataFrame, sources: list[str]) -> DataFrame:
@@ -73,76 +99,132 @@ def missing_targets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def partition_graph(state: DataFrame, n: int, by_range: bool = False) -> DataFrame:
-    """Hash (default) or range partitioning of the node table on ``id``; the
-    partition number is kept as a column for inspection."""
-    parted = state.repartitionByRange(n, "id") if by_range else state.repartition(n, "id")
-    return parted.withColumn("part", F.spark_partition_id())
+    """The node table in ``n`` partitions, with the partition number as column ``part``: by the MD5 of the id
+    (default; any engine computes the same number, and physical partition i holds part i), or by ranges of the id."""
+    if by_range:
+        return state.repartitionByRange(n, "id").withColumn("part", F.spark_partition_id())
+    return state.withColumn("part", partition_number(F.col("id"), n)).repartitionById(n, F.col("part"))
 
 
 # ---------------------------------------------------------------- steps
 
-def prepare_edges(edges: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Edges hash-partitioned on ``src`` and kept for all steps: the per-step join with
-    the ranks (hash-partitioned on ``id`` by the previous step's join, with the same
-    ``spark.sql.shuffle.partitions``) then re-shuffles neither side."""
-    n = partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return edges.select("src", "dst").repartition(n, "src").persist()
+MAX_HUBS = 10_000  # nodes whose shares are broadcast at most
+HUB_EDGES = 100_000  # a node of fewer out-edges is never a hub
+
+
+@dataclass
+class Edges:
+    """The edges of a run: those of ordinary nodes bucketed on ``src`` like the state on ``id``, those of hubs spread by
+    ``dst``, and the hubs (``id``). ``table`` is the catalog's name of the first."""
+    plain: DataFrame
+    of_hubs: DataFrame
+    hubs: DataFrame
+    table: str
+
+    def release(self) -> None:
+        """Forget the table; its files stay in the shared folder."""
+        self.plain.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def _bucketed(df: DataFrame, key: str, path: str) -> tuple[str, DataFrame]:
+    """``df`` written at ``path`` in as many buckets on ``key`` as there are shuffle partitions, as a table of the catalog: a
+    join on ``key`` reads it as it lies. The rows must be partitioned by ``key`` already, so that a task writes one file."""
+    name = f"tessera_{uuid.uuid4().hex}"
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", path).mode("overwrite").saveAsTable(name)
+    return name, df.sparkSession.table(name)
+
+
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def prepare_edges(edges: DataFrame, max_hubs: int = MAX_HUBS, hub_edges: int = HUB_EDGES) -> Edges:
+    """Edges stored for all steps. A hub has more than ``hub_edges`` out-edges and more than one in ``max_hubs`` of all, so
+    there are fewer than ``max_hubs`` hubs however large the graph, and no bucket holds a node of more edges than that."""
+    spark = edges.sparkSession
+    edges = edges.select("src", "dst").persist()
+    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    least = F.greatest(F.lit(hub_edges), degree.select(F.sum("n") / F.lit(max_hubs)).scalar())
+    hubs = degree.where(F.col("n") > least).select(F.col("src").alias("id")).checkpoint()
+    few = F.broadcast(hubs)  # fewer than max_hubs rows
+    table, plain = _bucketed(_dealt(edges.join(few, F.col("src") == F.col("id"), "left_anti"), "src"), "src", scratch_path(spark, "edges"))
+    path = scratch_path(spark, "hub-edges")
+    _dealt(edges.join(few, F.col("src") == F.col("id"), "left_semi"), "dst").write.parquet(path)
+    edges.unpersist()
+    return Edges(plain, spark.read.parquet(path), hubs, table)
+
+
+def place_state(state: DataFrame, path: str | None = None) -> tuple[str, DataFrame]:
+    """The node table bucketed on ``id``, as the steps keep it: the catalog's name and the table."""
+    return _bucketed(_dealt(state, "id"), "id", path or scratch_path(state.sparkSession, "state"))
+
 
+def ppr_step(state: DataFrame, edges: DataFrame | Edges, sources: list[str], alpha: float = ALPHA,
+             sent: Observation | None = None) -> DataFrame:
+    """One personalized PageRank step -> new (id, out_degree, rank); the message side is observed as ``sent``.
 
-def ppr_step(state: DataFrame, edges: DataFrame, sources: list[str], alpha: float = ALPHA) -> DataFrame:
-    """One personalized PageRank step -> new (id, out_degree, rank)."""
+    ``edges`` are prepared ones, or a plain table for a single step (AQE splits its hubs, if it sees them)."""
     k = float(len(sources))
-    shares = state.where(F.col("out_degree") > 0).select(
-        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"))
-    received = (edges.join(shares, "src")
-                .groupBy("dst").agg(F.sum("share").alias("received")))
+    shares = state.where(F.col("out_degree") > 0).select(F.col("id").alias("from_id"), (F.col("rank") / F.col("out_degree")).alias("share"))
+    plain = edges if isinstance(edges, DataFrame) else edges.plain
+    messages = plain.join(shares, F.col("src") == F.col("from_id")).select("dst", "share")
+    if isinstance(edges, Edges):
+        few = F.broadcast(shares.join(F.broadcast(edges.hubs), F.col("from_id") == F.col("id")).drop("id"))  # a row for each hub
+        messages = messages.unionByName(edges.of_hubs.join(few, F.col("src") == F.col("from_id")).select("dst", "share"))
+    received = messages.groupBy("dst").agg(F.sum("share").alias("received"), F.count(F.lit(1)).alias("_messages"))
+    if sent is not None:
+        received = received.observe(sent, F.coalesce(F.sum("_messages"), F.lit(0)).alias("messages"))
     dangling = state.where(F.col("out_degree") == 0).select(
         F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
     src = _is_source(sources)
     inflow = F.coalesce(F.col("received"), F.lit(0.0)) + F.when(src, dangling / k).otherwise(F.lit(0.0))
     rank = F.lit(1.0 - alpha) * inflow + F.when(src, F.lit(alpha / k)).otherwise(F.lit(0.0))
-    return (state.join(received, state["id"] == received["dst"], "left")
-            .select("id", "out_degree", rank.alias("rank")))
+    out = state.join(received, state["id"] == received["dst"], "left").select("id", "out_degree", rank.alias("rank"), "_messages")
+    return out if sent is not None else out.drop("_messages")
 
 
 def ppr_run(state: DataFrame, edges: DataFrame, sources: list[str], steps: int,
             alpha: float = ALPHA, save_base: str | None = None, start: int = 0,
-            metrics: list | None = None) -> DataFrame:
-    """``steps`` iterations. Every step is materialised (reliable checkpoint, or
-    ``{save_base}/iter={k}`` Parquet when given) so lineage stays one step long and a
-    lost executor recomputes at most one step.
+            metrics: list | None = None, max_hubs: int = MAX_HUBS, hub_edges: int = HUB_EDGES) -> DataFrame:
+    """``steps`` iterations. Every step is stored, as a table bucketed on ``id`` in the shared folder
+    (``{save_base}/iter=0001`` and so on when given), so lineage stays one step long, a
+    lost executor recomputes at most one step, and the next step joins the state as it lies.
 
     A16/D17: with ``metrics`` (a list), each step appends its counters, gathered by
     ``observe`` during the step's own write (no extra job): ``nodes``, ``mass`` (rank
     sum; below 1 when mass went to missing nodes), ``active`` (nodes with out-edges),
-    ``messages`` (edge messages sent) and ``received`` (nodes that got any)."""
+    ``messages`` (sent along edges), ``received`` (those that reached a node) and
+    ``missing`` (those to a node without structure)."""
     spark = state.sparkSession
-    e = prepare_edges(edges)
-    cur = state
+    e = prepare_edges(edges, max_hubs, hub_edges)
+    name, cur = place_state(state)
+    path = None
     for i in range(start + 1, start + steps + 1):
-        nxt = ppr_step(cur, e, sources, alpha)
-        obs = None
+        sent = got = None
         if metrics is not None:
-            obs = Observation(f"ppr-step-{i}")
-            nxt = nxt.observe(obs, F.count(F.lit(1)).alias("nodes"), F.sum("rank").alias("mass"),
+            sent, got = Observation(f"ppr-sent-{i}"), Observation(f"ppr-step-{i}")
+        nxt = ppr_step(cur, e, sources, alpha, sent)
+        if got is not None:
+            nxt = nxt.observe(got, F.count(F.lit(1)).alias("nodes"), F.sum("rank").alias("mass"),
                               F.count_if(F.col("out_degree") > 0).alias("active"),
-                              F.sum("out_degree").alias("messages_next"))
-        if save_base:
-            nxt = spark.read.parquet(write_iteration(nxt, save_base, i))
-        else:
-            nxt = nxt.checkpoint(eager=True)
-        if obs is not None:
-            m = dict(obs.get)
-            m["iteration"] = i
+                              F.coalesce(F.sum("_messages"), F.lit(0)).alias("received")).drop("_messages")
+        path = iteration_path(save_base, i) if save_base else scratch_path(spark, "state")
+        before = name
+        name, cur = _bucketed(nxt, "id", path)
+        spark.sql(f"DROP TABLE IF EXISTS {before}")
+        if got is not None:
+            m = {**got.get, **sent.get, "iteration": i}
+            m["missing"] = m["messages"] - m["received"]
             metrics.append(m)
-        cur = nxt
-    e.unpersist()
-    return cur
+    e.release()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(path) if path else state
 
 
 def read_iteration(spark, base: str, iteration: int) -> DataFrame:
-    """SRC6: the node table saved for ``iteration``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/iter={iteration}")
+    """SRC6: the node table saved for ``iteration``; an id that stands there twice raises."""
+    return unique_nodes(spark.read.parquet(iteration_path(base, iteration)))
 
 
 def top_ranked(state: DataFrame, k: int = 100, digits: int = 9) -> DataFrame:

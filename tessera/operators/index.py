@@ -1,23 +1,28 @@
 """Inverted index, gap coding and Boolean retrieval.
 
-Primary form is the row table ``(term, doc_id, tf)``. The array form is cut into blocks
-of document-id ranges (``block = doc_id div block_docs``), so a posting array never holds
-more than ``block_docs`` entries however common the term; ``df`` is summed over blocks.
-Gaps are exact over the whole list: inside a block by a window on ``(term, block)``, at
-a block's first entry from the last document of the term's previous block (a small
-per-block summary), never a window over a whole term.
+Primary form is the row table ``(term, doc_id, tf)``. The array form is cut into blocks of document-id
+ranges (``block = doc_id div block_docs``), so a posting array never holds more than ``block_docs`` entries
+however common the term; ``df`` is summed over blocks.
+
+The coded form holds the gaps between documents, exact over the whole list. A block's ``base`` is the last
+document of the term before it. It comes from a directory of two levels (the blocks of a super-block, the
+super-blocks of a term), both small arrays, so nothing ever orders all postings of a term; inside a block
+every ``RUN`` postings have a skip entry. A block is decoded from its own row alone.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import nonempty, snippet
+from tessera.session import scratch_path
 
 BLOCK_DOCS = 1024  # document ids per posting block
+SUPER_BLOCKS = 1024  # blocks under one entry of the upper directory
+RUN = 32  # postings of a block between two skip entries
 
 
 def term_frequency(doc_tokens: DataFrame) -> DataFrame:
@@ -48,33 +53,72 @@ def postings_text(postings: Column) -> Column:
                                                                   p["tf"].cast("string"))), " ")
 
 
-def encode_gaps(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """WF4/T17 encode: (term, block, seq, doc_id, tf, gap); ``gap`` is the distance to the
-    term's previous document (the first one keeps its id); ``seq`` orders a block."""
-    b = with_block(tf, block_docs)
-    inner = Window.partitionBy("term", "block").orderBy("doc_id")
-    rows = (b.withColumn("seq", F.row_number().over(inner))
-            .withColumn("_prev", F.lag("doc_id").over(inner)))
-    last = b.groupBy("term", "block").agg(F.max("doc_id").alias("_last"))
-    prev_block_last = last.select(
-        "term", "block", F.lag("_last").over(Window.partitionBy("term").orderBy("block")).alias("_pbl"))
-    return (rows.join(prev_block_last, ["term", "block"])
-            .select("term", "block", "seq", "doc_id", "tf",
-                    (F.col("doc_id") - F.coalesce("_prev", "_pbl", F.lit(0))).alias("gap")))
+def block_bases(blocks: DataFrame, super_blocks: int = SUPER_BLOCKS) -> DataFrame:
+    """WF4: (term, block, base): the last document of the term before each block, 0 before its first.
 
+    Two levels of arrays: the last documents of the blocks of a super-block (``super_blocks`` at most), and those of a
+    term's super-blocks. ``blocks`` needs term, block and postings."""
+    last = blocks.select("term", "block", F.element_at("postings", -1)["doc_id"].alias("last"))
+    lower = (last.withColumn("upper", F.expr(f"(block - pmod(block, {super_blocks}L)) div {super_blocks}L"))
+             .groupBy("term", "upper")
+             .agg(F.array_sort(F.collect_list(F.struct("block", "last"))).alias("entries"), F.max("last").alias("last")))
+    tops = lower.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("upper", "last"))).alias("tops"))
+    before = tops.select("term", F.inline(F.expr("transform(tops, (e, i) -> struct(e.upper, coalesce(get(tops, i - 1).last, 0L) AS before))")))
+    bases = "transform(entries, (e, i) -> struct(e.block, coalesce(get(entries, i - 1).last, before) AS base))"
+    return (lower.select("term", "upper", "entries").join(before, ["term", "upper"])
+            .select("term", F.inline(F.expr(bases))))
 
-def decode_gaps(enc: DataFrame) -> DataFrame:
-    """T17 decode: (term, block, seq, gap, tf) -> (term, doc_id, tf) by prefix sums.
 
-    Running sum inside a block, plus the sum of the gaps of the term's earlier blocks
-    (a window over the per-block summary)."""
-    inner = Window.partitionBy("term", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    run = enc.withColumn("_run", F.sum("gap").over(inner))
-    sums = enc.groupBy("term", "block").agg(F.sum("gap").alias("_s"))
-    before = Window.partitionBy("term").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sums.select("term", "block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
-    return (run.join(offs, ["term", "block"])
-            .select("term", (F.col("_off") + F.col("_run")).alias("doc_id"), "tf"))
+def encode_postings(blocks: DataFrame, super_blocks: int = SUPER_BLOCKS) -> DataFrame:
+    """T17 encode: (term, block, df, n, base, skips, gaps, tfs) from ``index_blocks``.
+
+    ``gaps`` are distances to the term's previous document (the first one keeps its id), ``skips`` the last document of
+    each full run of ``RUN`` postings, ``tfs`` the frequencies. ``blocks`` is read twice, by the directory and by the
+    codes: pass a checkpointed or stored table."""
+    ids = F.transform("postings", lambda p: p["doc_id"])
+    rows = blocks.join(block_bases(blocks, super_blocks), ["term", "block"]).withColumn("ids", ids)
+    return rows.select(
+        "term", "block", "df", "n", "base",
+        F.expr(f"if(n >= {RUN}, transform(sequence({RUN}, cast(n AS int), {RUN}), k -> element_at(ids, k)), cast(array() AS array<bigint>))").alias("skips"),
+        F.expr("transform(ids, (d, i) -> d - coalesce(get(ids, i - 1), base))").alias("gaps"),
+        F.transform("postings", lambda p: p["tf"]).alias("tfs"))
+
+
+def decoded_ids() -> Column:
+    """Document ids of a coded block: the skip entry (or base) before a posting's run plus the gaps of the run up to it."""
+    run = f"cast(i div {RUN} AS int)"
+    return F.expr(f"transform(gaps, (g, i) -> if(i < {RUN}, base, get(skips, {run} - 1))"
+                  f" + aggregate(slice(gaps, {run} * {RUN} + 1, i % {RUN} + 1), 0L, (s, x) -> s + x))")
+
+
+def decode_postings(coded: DataFrame) -> DataFrame:
+    """T17 decode: coded blocks -> (term, doc_id, tf); each row by itself, no shuffle."""
+    return (coded.select("term", F.arrays_zip(decoded_ids().alias("doc_id"), F.col("tfs").alias("tf")).alias("p"))
+            .select("term", F.inline_outer("p")).where(nonempty("doc_id")))
+
+
+def gap_rows(coded: DataFrame) -> DataFrame:
+    """The coded index one posting a row: (term, block, seq, doc_id, tf, gap), ``seq`` from 1 in a block."""
+    zipped = F.arrays_zip(decoded_ids().alias("doc_id"), F.col("tfs").alias("tf"), F.col("gaps").alias("gap"))
+    return (coded.select("term", "block", F.posexplode_outer(zipped).alias("i", "p")).where(nonempty("p"))
+            .select("term", "block", (F.col("i") + 1).alias("seq"), "p.doc_id", "p.tf", "p.gap"))
+
+
+# ---------------------------------------------------------------- the stored index
+
+def open_terms(spark: SparkSession, base: str, terms: list[str]) -> DataFrame:
+    """The coded blocks of ``terms`` from an index written by ``sinks.write_index``.
+
+    The manifest tells which files hold a term range that some term falls into; only those are listed, opened and read,
+    and inside them the filter skips row groups by their statistics."""
+    wanted = sorted({normalize_term(t) for t in terms})
+    manifest = spark.read.parquet(f"{base}/manifest")
+    hit = F.exists(F.array(*[F.lit(t) for t in wanted]), lambda t: (F.col("first") <= t) & (t <= F.col("last"))) if wanted else F.lit(False)
+    files = sorted(r["file"] for r in manifest.where(hit).select("file").collect())
+    data = f"{base}/data"
+    if not files:
+        return spark.read.parquet(data).where("1 = 0")
+    return spark.read.option("basePath", data).parquet(*[f"{data}/{f}" for f in files]).where(F.col("term").isin(wanted))
 
 
 # ---------------------------------------------------------------- Boolean retrieval
@@ -99,6 +143,21 @@ def docs_or(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 
 
+def _hits(tf: DataFrame, terms: list[str]) -> DataFrame:
+    return tf.where(F.col("term").isin(sorted({normalize_term(t) for t in terms})))
+
+
+def docs_with_all(tf: DataFrame, terms: list[str]) -> DataFrame:
+    """U1 on terms: documents that hold every one, from one pass over the postings -> (doc_id)."""
+    n = len({normalize_term(t) for t in terms})
+    return _hits(tf, terms).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n).select("doc_id")
+
+
+def docs_with_any(tf: DataFrame, terms: list[str]) -> DataFrame:
+    """U2/U4 on terms: documents that hold at least one, from one pass over the postings -> (doc_id)."""
+    return _hits(tf, terms).select("doc_id").distinct()
+
+
 def parse_postfix(query: str):
     """Postfix ``t1 t2 AND t3 OR`` -> nested tuples ``('AND', l, r)`` / ``('T', term)``."""
     stack = []
@@ -126,7 +185,9 @@ def _expr(node, present: Column) -> Column:
     return (l_ & r) if node[0] == "AND" else (l_ | r)
 
 
-INLINE_TERMS = 1000  # query terms inlined as an IN list; above that a size-checked join
+def query_terms(queries: list[str]) -> list[str]:
+    """The terms of a batch of postfix queries."""
+    return sorted(set().union(*[_terms(parse_postfix(q)) for q in queries]))
 
 
 def boolean_queries(tf: DataFrame, queries: list[str]) -> DataFrame:
@@ -137,43 +198,28 @@ def boolean_queries(tf: DataFrame, queries: list[str]) -> DataFrame:
     batch, not by the data) and each query is one Boolean column over it.
     """
     trees = [parse_postfix(q) for q in queries]
-    terms = sorted(set().union(*[_terms(t) for t in trees]))
-    if len(terms) <= INLINE_TERMS:
-        hits = tf.where(F.col("term").isin(terms))
-    else:
-        spark = tf.sparkSession
-        qt = spark.createDataFrame([(t,) for t in terms], "term string")
-        hits = tf.join(F.broadcast(qt), "term")  # size known: the query batch itself
+    hits = tf.where(F.col("term").isin(query_terms(queries)))
     present = hits.groupBy("doc_id").agg(F.collect_set("term").alias("present"))
     ids = F.array(*[F.when(_expr(t, F.col("present")), F.lit(i)) for i, t in enumerate(trees)])
     return (present.select(F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("query_id"), "doc_id"))
 
 
-INLINE_IDS = 1_000  # hit ids inlined into the document scan's filter up to this many (a longer IN list is slow to plan and rarely prunes a row group)
-
+def fetch_rows(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is in ``keys``: a semi join.
 
-def fetch_rows(table: DataFrame, keys: DataFrame, key: str, max_inline: int = INLINE_IDS) -> DataFrame:
-    """The rows of ``table`` whose ``key`` is in ``keys``.
-
-    A few hits against a huge table: when there are at most ``max_inline`` distinct
-    keys (at most ``max_inline + 1`` are fetched to find out), they become an ``IN``
-    filter that reaches the Parquet reader, so row groups whose min/max exclude every
-    hit are skipped (the reference seeks by offset). Otherwise a semi join, with AQE
-    choosing broadcast.
-    """
-    distinct = keys.select(key).distinct()
-    ids = [r[0] for r in distinct.limit(max_inline + 1).collect()]
-    if len(ids) <= max_inline:
-        return table.where(F.col(key).isin(ids))
-    return table.join(distinct, key, "left_semi")
+    Where ``keys`` is a filtered scan that is small beside a large ``table``, Spark builds a Bloom filter of
+    the keys at run time and applies it in the scan of ``table``, so rows that miss are not shuffled."""
+    return table.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def retrieve_snippets(hits: DataFrame, documents: DataFrame, width: int = 80) -> DataFrame:
     """Hits with the first line of their document, cut to ``width`` characters.
 
-    The hits are read twice (their ids, then the join), so they are checkpointed once
-    into the shared checkpoint folder rather than computed twice."""
-    hits = hits.checkpoint(eager=True)
-    docs = fetch_rows(documents.select("doc_id", "text"), hits, "doc_id")
-    docs = docs.select("doc_id", snippet(F.col("text"), width).alias("snippet"))
-    return hits.join(docs, "doc_id").select(*hits.columns, "snippet")
+    The hits go to a table in the shared folder: what found them is not run again for the join, and the scan of that
+    table is the creation side from which Spark makes its run-time Bloom filter for a large ``documents``."""
+    spark = hits.sparkSession
+    path = scratch_path(spark, "hits")
+    hits.write.parquet(path)
+    found = spark.read.parquet(path).where(F.col("query_id") >= 0)
+    docs = documents.select("doc_id", "text")
+    return found.join(docs, "doc_id").select(*hits.columns, snippet(F.col("text"), width).alias("snippet"))

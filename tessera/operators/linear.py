@@ -6,9 +6,9 @@ occurrence adds ``(y - p) * delta`` to ``w[f]``.
 
 * Full batch (M4): one gradient over all instances per epoch, exact and order-free;
   several models train in the same job, keyed by ``model_id``.
-* Sharded (M5): the sequential rule inside each shard (Python over one shard's rows via
-  ``applyInPandas``), weights averaged over shards. Shards are bounded in size and their
-  number grows with the data.
+* Sharded (M5): the sequential rule inside each of ``n_shards`` shards, weights averaged. A shard is one
+  partition, sorted by the seeded order; Python streams over its rows and holds the weights only, so a shard may
+  be larger than memory. Their number is a parameter, as another number is another model.
 
 How a model is joined is left to AQE, which sees its size at run time.
 """
@@ -16,10 +16,10 @@ How a model is joined is left to AQE, which sees its size at run time.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import feature_id, nonempty, tokenize
@@ -47,8 +47,7 @@ def occurrences(inst: DataFrame, model_col: str | None = None) -> DataFrame:
             .groupBy("model_id", "doc_id", "y", "f").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA,
-                    buckets: int = BUCKETS, n_models: int = 1) -> DataFrame:
+def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA) -> DataFrame:
     """Full-batch training of every ``model_id`` in ``occ`` -> (model_id, f, w).
 
     Per epoch: score each instance with a window sum over its own rows (no join back),
@@ -73,7 +72,7 @@ def train_fullbatch(occ: DataFrame, epochs: int = 2, delta: float = DELTA,
     return model
 
 
-def score(occ: DataFrame, model: DataFrame, buckets: int = BUCKETS, n_models: int = 1) -> DataFrame:
+def score(occ: DataFrame, model: DataFrame) -> DataFrame:
     """(model_id, doc_id, score) with ``score = sum cnt * w``; an unknown feature
     weighs 0. ``occ`` carries no model id here: every model scores every instance."""
     o = occ.select("doc_id", "f", "cnt")
@@ -81,23 +80,22 @@ def score(occ: DataFrame, model: DataFrame, buckets: int = BUCKETS, n_models: in
             .groupBy("model_id", "doc_id").agg(F.sum(F.col("cnt") * F.col("w")).alias("score")))
 
 
-def score_documents(inst: DataFrame, model: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def score_documents(inst: DataFrame, model: DataFrame) -> DataFrame:
     """One model -> (doc_id, y, score, predicted); score < 0 is ham, else spam."""
-    s = score(occurrences(inst), model, buckets)
+    s = score(occurrences(inst), model)
     out = inst.select("doc_id", "y").join(s.select("doc_id", "score"), "doc_id", "left")
     sc = F.coalesce("score", F.lit(0.0))
     return out.select("doc_id", "y", sc.alias("score"),
                       F.when(sc < 0, F.lit("ham")).otherwise(F.lit("spam")).alias("predicted"))
 
 
-def ensemble(inst: DataFrame, models: DataFrame, method: str, n_models: int,
-             buckets: int = BUCKETS) -> DataFrame:
+def ensemble(inst: DataFrame, models: DataFrame, method: str, n_models: int) -> DataFrame:
     """Score with every model; ``average`` of the scores or ``vote``
     (models with score > 0 minus the rest); label spam when the result is > 0.
     A model that has none of a document's features scores it 0."""
     if method not in ("average", "vote"):
         raise ValueError(f"unknown ensemble method {method!r}")
-    s = score(occurrences(inst), models, buckets, n_models)
+    s = score(occurrences(inst), models)
     per_doc = s.groupBy("doc_id").agg(F.sum("score").alias("total"),
                                       F.count_if(F.col("score") > 0).alias("n_pos"))
     j = inst.select("doc_id", "y").join(per_doc, "doc_id", "left")
@@ -111,38 +109,53 @@ def ensemble(inst: DataFrame, models: DataFrame, method: str, n_models: int,
 
 # ---------------------------------------------------------------- order and shards
 
+def seeded_hash(key: Column, seed: int) -> Column:
+    """MD5 text of seed and key: an order that any engine can repeat."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+
+
+def ranked(df: DataFrame, by: list[str], name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """The rows numbered from 1 in the order of ``by`` -> adds ``name``.
+
+    Range partitions are sorted each by itself; a row's number is its place in its partition plus the rows of the
+    partitions before, which is one row a partition. No task sorts or counts all rows. Rows equal in ``by`` are
+    numbered in whichever order they come."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+            .withColumn("_at", F.monotonically_increasing_id()).checkpoint())  # one sampling of the ranges for both uses
+    part = F.shiftrightunsigned("_at", 33)  # the upper bits of the id number the partition
+    sizes = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # over at most ``n`` rows
+    shift = sizes.select("_p", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return (rows.withColumn("_p", part).join(F.broadcast(shift), "_p")
+            .select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name)))
+
+
 def shuffle_order(inst: DataFrame, seed: int = 42) -> DataFrame:
-    """A seeded, repeatable random order -> adds ``ord`` (sort by it)."""
-    return inst.withColumn("ord", F.xxhash64(F.lit(seed), F.col("doc_id")))
-
-
-def shard_count(inst: DataFrame, rows_per_shard: int) -> int:
-    """Number of shards so that each holds about ``rows_per_shard`` instances."""
-    return max(1, math.ceil(inst.count() / rows_per_shard))
-
-
-def _sgd_shard(delta: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ord", "doc_id"])
-        feats = [np.asarray(a, dtype=np.int64) for a in pdf["features"]]
-        ids = np.unique(np.concatenate(feats)) if feats else np.zeros(0, np.int64)
-        w = np.zeros(len(ids))
-        for y, fs in zip(pdf["y"].to_numpy(), feats):
-            if len(fs) == 0:
-                continue
-            idx = np.searchsorted(ids, fs)
-            p = 0.5 * (1.0 + math.tanh(w[idx].sum() / 2.0))  # no overflow at large scores
-            np.add.at(w, idx, (y - p) * delta)
-        return pd.DataFrame({"shard": np.full(len(ids), pdf["shard"].iloc[0], dtype=np.int32),
-                             "f": ids.astype(np.int32), "w": w})
+    """A seeded, repeatable random order -> adds ``ord``, to sort by (``ranked`` numbers it)."""
+    return inst.withColumn("ord", seeded_hash(F.col("doc_id"), seed))
+
+
+def _sgd(delta: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w: dict[int, float] = {}
+        for pdf in batches:
+            for y, feats in zip(pdf["y"].to_numpy(), pdf["features"]):
+                s = sum(w.get(f, 0.0) for f in feats.tolist())
+                step = (y - 0.5 * (1.0 + math.tanh(s / 2.0))) * delta  # no overflow at large scores
+                for f in feats.tolist():
+                    w[f] = w.get(f, 0.0) + step
+        if w:
+            yield pd.DataFrame({"f": list(w), "w": list(w.values())}).astype({"f": "int32"})
     return run
 
 
 def train_sharded(inst: DataFrame, n_shards: int, delta: float = DELTA, seed: int = 42) -> DataFrame:
-    """M5/A10: sequential SGD inside each shard in the seeded order, then the average of
-    the shard models (a feature missing from a shard counts 0) -> (f, w)."""
-    x = (shuffle_order(inst, seed)
-         .withColumn("shard", F.pmod(F.col("ord"), F.lit(n_shards)).cast("int"))
-         .select("shard", "ord", "doc_id", "y", "features"))
-    shard_models = x.groupBy("shard").applyInPandas(_sgd_shard(delta), "shard int, f int, w double")
-    return shard_models.groupBy("f").agg((F.sum("w") / F.lit(float(n_shards))).alias("w"))
+    """M5/A10: sequential SGD inside each of ``n_shards`` shards in the seeded order, then the average of
+    the shard models (a feature missing from a shard counts 0) -> (f, w). A shard takes the ids of one residue of
+    the first 32 bits of their seeded hash."""
+    shard = F.pmod(F.conv(F.substring("ord", 1, 8), 16, 10).cast("bigint"), F.lit(n_shards)).cast("int")
+    rows = shuffle_order(inst, seed).withColumn("shard", shard).select("shard", "ord", "doc_id", "y", "features")
+    models = (rows.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("ord", "doc_id")
+              .select("y", "features").mapInPandas(_sgd(delta), "f int, w double"))
+    return models.groupBy("f").agg((F.sum("w") / F.lit(float(n_shards))).alias("w"))

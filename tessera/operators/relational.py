@@ -37,18 +37,23 @@ def shipdate_count(lineitem: DataFrame, day: str = QUERY_DATE) -> DataFrame:
             .select(F.lit(day).alias("l_shipdate"), "n"))
 
 
+MAX_REPEATS = 1_000_000  # copies of one value written out by ``concat_group`` at most
+
+
 def concat_group(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Concatenation of a group's values in value order, duplicates repeated.
 
-    Rows are first counted per distinct (key, value), so what is gathered per key is
-    its distinct values, not its rows: a key holding a third of the table still
-    gathers a handful of entries.
+    Rows are first counted per distinct (key, value), so what is gathered per key is its distinct values, not its
+    rows. The text itself is as long as the group: cut the keys before (``orders_shipped_on`` does). A value that
+    stands more than ``MAX_REPEATS`` times in a group raises rather than being shortened or wrapping around.
     """
     per_value = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
+    times = lambda e: F.when(e["_k"] <= MAX_REPEATS, e["_k"].cast("int")).otherwise(
+        F.raise_error(F.concat(F.lit("too many repeats of one value to concatenate: "), e["_k"].cast("string"))).cast("int"))
     return per_value.groupBy(*keys).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct(F.col(value), F.col("_k")))),
-                        lambda e: F.repeat(e[value], e["_k"].cast("int"))),
+                        lambda e: F.repeat(e[value], times(e))),
             "").alias(out),
         F.sum("_k").alias("n_lines"),
     )
@@ -59,14 +64,15 @@ def orders_shipped_on(lineitem: DataFrame, orders: DataFrame, day: str = QUERY_D
     """Co-group of orders and the line items shipped on ``day``.
 
     Keys come from the line-item side (a key without an order keeps a null clerk);
-    the report is the first ``k`` order keys. The key set is cut to ``k`` before the
-    join, so the orders side is probed for ``k`` keys only.
+    the report is the first ``k`` order keys. The keys are cut to ``k`` first, so only
+    their lines are concatenated and the orders side is probed for ``k`` keys only.
     -> (l_orderkey, clerk, shipdates, n_lines)
     """
     li = (lineitem.where(date_equals(lineitem, "l_shipdate", day))
           .select("l_orderkey", day_text(F.col("l_shipdate")).alias("d")))
-    grouped = concat_group(li, ["l_orderkey"], "d", "shipdates")
-    top = grouped.orderBy("l_orderkey").limit(k)
+    keys = li.select(F.col("l_orderkey").alias("_key")).distinct().orderBy("_key").limit(k)
+    top = concat_group(li.join(F.broadcast(keys), F.col("l_orderkey").eqNullSafe(F.col("_key"))).drop("_key"),
+                       ["l_orderkey"], "d", "shipdates")  # at most k keys are broadcast
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"),
                       F.col("o_orderpriority").alias("clerk"))
     return (top.join(o, "l_orderkey", "left")

@@ -3,7 +3,7 @@
 Every count is a ``groupBy`` with Spark's partial (map-side) aggregation, so a very
 common word is summed inside each task before anything is shuffled. Maps (stripes) are
 built only from the pre-aggregated long form, so a stripe holds distinct partners, never
-raw rows, and it is further cut into ``pieces`` by a hash of the partner.
+raw rows, and it is further cut into pieces by a hash of the partner.
 """
 
 from __future__ import annotations
@@ -39,6 +39,14 @@ def word_count(tokens: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
+def line_word_count(tokens: DataFrame) -> DataFrame:
+    """A1/A2 by line: occurrences of each word and the lines that hold it, from (doc_id, line_no, tokens)
+    -> (word, n, n_lines)."""
+    in_line = (tokens.select("doc_id", "line_no", F.explode_outer("tokens").alias("word")).where(nonempty("word"))
+               .groupBy("word", "doc_id", "line_no").agg(F.count(F.lit(1)).alias("k")))
+    return in_line.groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_lines"))
+
+
 def follower_count(tokens: DataFrame, anchor: str = "the", min_count: int = 2) -> DataFrame:
     """WF3/F3/T20: words right after ``anchor`` within a line, kept when seen at least
     ``min_count`` times -> (word, n). Two anchors in a row: the second is a follower."""
@@ -84,16 +92,25 @@ def bigram_marginals(tokens: DataFrame) -> DataFrame:
 MAX_STRIPE_ENTRIES = 100_000  # partners held in one stripe piece at most
 
 
+def piece_counts(longs: list[DataFrame], key: str, max_entries: int = MAX_STRIPE_ENTRIES) -> DataFrame:
+    """(key, _pieces): into how many pieces a key's stripes are cut so that a piece holds about ``max_entries`` partners,
+    from its partners in all tables of ``longs`` together; tables cut by it match piece by piece."""
+    degrees = [d.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")) for d in longs]
+    every = degrees[0]
+    for d in degrees[1:]:
+        every = every.unionByName(d)
+    return every.groupBy(key).agg(F.ceil(F.sum("_deg") / F.lit(max_entries)).alias("_pieces"))
+
+
 def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
                pieces: int | None = None, max_entries: int = MAX_STRIPE_ENTRIES,
-               degree_col: str | None = None) -> DataFrame:
+               degree_col: str | None = None, pieces_of: DataFrame | None = None) -> DataFrame:
     """Long rows (one per key and partner) -> stripes ``(key, piece, stripe MAP)``.
 
-    A stripe is cut into pieces by ``pmod(xxhash64(partner), P)``. With ``pieces``
-    given, ``P`` is that fixed number (two stripe tables built alike can be merged
-    piece by piece). Otherwise ``P = ceil(partners / max_entries)`` per key, from a
-    partially aggregated partner count (or ``degree_col`` when the caller has it), so
-    no map holds more than about ``max_entries`` entries however common the key. The
+    A stripe is cut into pieces by ``pmod(xxhash64(partner), P)``. ``P`` is the fixed number ``pieces``, or the key's
+    own in ``pieces_of`` (see ``piece_counts``; two tables cut alike can be merged piece by piece), or
+    ``ceil(partners / max_entries)`` per key, from a partially aggregated partner count (or ``degree_col`` when the
+    caller has it), so no map holds more than about ``max_entries`` entries however common the key. The
     value is the single column or a struct of several.
     """
     val = F.col(value_cols[0]) if len(value_cols) == 1 else F.struct(*[F.col(c) for c in value_cols])
@@ -102,8 +119,7 @@ def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
     elif degree_col is not None:
         n_pieces = F.ceil(F.col(degree_col) / F.lit(max_entries))
     else:
-        deg = long.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).alias("_pieces"))
-        long = long.join(deg, key)
+        long = long.join(pieces_of if pieces_of is not None else piece_counts([long], key, max_entries), key)
         n_pieces = F.col("_pieces")
     return (long.withColumn("piece", F.pmod(F.xxhash64(F.col(partner)), n_pieces).cast("int"))
             .groupBy(key, "piece")
@@ -136,8 +152,7 @@ def bigram_stripes(tokens: DataFrame, pieces: int | None = None) -> DataFrame:
 
 
 def merge_stripes(a: DataFrame, b: DataFrame, key: str = "x") -> DataFrame:
-    """Element-wise sum of two stripe tables of counts built with the same fixed
-    ``pieces``.
+    """Element-wise sum of two stripe tables of counts that were cut alike (``pieces`` or ``pieces_of``).
 
     Full outer join on ``(key, piece)`` and ``map_zip_with`` over the union of partners.
     """
@@ -150,14 +165,25 @@ def merge_stripes(a: DataFrame, b: DataFrame, key: str = "x") -> DataFrame:
         .alias("stripe"))
 
 
+def merge_counts(a: DataFrame, b: DataFrame, key: str = "x", partner: str = "y", value: str = "n",
+                 max_entries: int = MAX_STRIPE_ENTRIES) -> DataFrame:
+    """The stripes of two tables of counts (one row per key and partner in each), merged -> (key, piece, stripe).
+
+    Both sides' partners of a key are counted first and agree on its number of pieces, so a merged piece holds about
+    ``max_entries`` partners also where one side has few of a key and the other millions."""
+    of = piece_counts([a, b], key, max_entries)
+    sa, sb = (to_stripes(d, key, partner, [value], pieces_of=of) for d in (a, b))
+    return merge_stripes(sa, sb, key)
+
+
 def partition_number(key, n: int):
     """Visible partition number of a key, ``md5``-based so any engine agrees."""
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
 def partition_sorted(df: DataFrame, key: str, then: list[str], n: int) -> DataFrame:
-    """Rows hash-partitioned on ``key`` into ``n`` partitions (by the visible
-    partition number) and sorted by ``key, *then`` inside each -> (part, ...)."""
+    """Rows in ``n`` partitions by the visible partition number of ``key``, sorted by
+    ``key, *then`` inside each -> (part, ...). Physical partition i holds the rows of part i and no others."""
     out = df.withColumn("part", partition_number(F.col(key), n))
-    return (out.repartition(n, "part").sortWithinPartitions(key, *then)
+    return (out.repartitionById(n, F.col("part")).sortWithinPartitions(key, *then)
             .select("part", *df.columns))

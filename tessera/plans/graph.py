@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from tessera.operators import graph as G
 from tessera.plans.registry import register
 from tessera.session import scratch_path
-from tessera.sources.tables import read_table
+from tessera.sources.sinks import write_adjacency_text
+from tessera.sources.tables import read_adjacency_text, read_table
 
 SOURCES = ["s1", "s2"]  # fixed personalization sources
 DIGITS = 9
@@ -95,9 +96,18 @@ def graph_missing(spark, sf):
     return G.missing_targets(nodes, edges)
 
 
-@register("graph_partition")
+@register("graph_partition", "WITH " + GRAPH_CTE + """
+SELECT id, out_degree, rank, CAST(CAST(('0x' || substr(md5(id), 1, 8)) AS BIGINT) % 8 AS INTEGER) AS part FROM r0""")
 def graph_partition(spark, sf):
-    return G.partition_graph(_state(spark, sf)[0], 8, by_range=True)
+    return G.partition_graph(_state(spark, sf)[0], 8)
+
+
+@register("graph_from_text", "WITH " + GRAPH_CTE + " SELECT id, out_degree, rank FROM r0")
+def graph_from_text(spark, sf):
+    # The test tables have no adjacency text: the graph is written as lines, then read back.
+    path = scratch_path(spark, "adjacency")
+    write_adjacency_text(*_graph(spark, sf), path)
+    return G.build_state(*read_adjacency_text(spark, path), SOURCES)
 
 
 @register("ppr_step", _ppr_sql(1) + f" SELECT id, out_degree, round(rank, {DIGITS}) AS rank FROM r1")

@@ -4,6 +4,8 @@ from tessera.operators import index as I
 from tessera.operators import words as W
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import tokens_sql
+from tessera.session import scratch_path
+from tessera.sources.sinks import write_index
 from tessera.sources.tables import read_table
 
 BLOCK = I.BLOCK_DOCS
@@ -46,29 +48,39 @@ def inverted_index(spark, sf):
     return ix.select("term", "block", "df", "n", I.postings_text(ix["postings"]).alias("postings"))
 
 
+def _coded(spark, sf):
+    return I.encode_postings(I.index_blocks(_tf(spark, sf), BLOCK).checkpoint())
+
+
 @register("postings_gaps", GAPS_SQL)
 def postings_gaps(spark, sf):
-    return I.encode_gaps(_tf(spark, sf), BLOCK)
+    return I.gap_rows(_coded(spark, sf))
 
 
 @register("postings_decode", f"WITH {TF_CTE} SELECT term, doc_id, tf FROM tf")
 def postings_decode(spark, sf):
-    enc = I.encode_gaps(_tf(spark, sf), BLOCK).drop("doc_id")
-    return I.decode_gaps(enc)
+    return I.decode_postings(_coded(spark, sf))
 
 
 @register("boolean_and", f"""WITH {TF_CTE}
 SELECT doc_id FROM tf WHERE term = 'the' INTERSECT SELECT doc_id FROM tf WHERE term = 'of'""")
 def boolean_and(spark, sf):
-    tf = _tf(spark, sf)
-    return I.docs_and(I.doc_set(tf, "the"), I.doc_set(tf, "of"))
+    return I.docs_with_all(_tf(spark, sf), ["the", "of"])
 
 
 @register("boolean_or", f"""WITH {TF_CTE}
 SELECT doc_id FROM tf WHERE term = 'de' UNION SELECT doc_id FROM tf WHERE term = 'nosuchterm'""")
 def boolean_or(spark, sf):
-    tf = _tf(spark, sf)
-    return I.docs_or(I.doc_set(tf, "de"), I.doc_set(tf, "nosuchterm"))
+    return I.docs_with_any(_tf(spark, sf), ["de", "nosuchterm"])
+
+
+@register("index_lookup", f"WITH {PRESENCE_CTE} SELECT query_id, doc_id FROM hits")
+def index_lookup(spark, sf):
+    # The index is written once; the queries are answered from its files alone.
+    base = scratch_path(spark, "index")
+    write_index(_coded(spark, sf), base, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = I.open_terms(spark, base, I.query_terms(QUERIES))
+    return I.boolean_queries(I.decode_postings(stored), QUERIES)
 
 
 @register("boolean_rpn", f"WITH {PRESENCE_CTE} SELECT query_id, doc_id FROM hits")

@@ -6,12 +6,13 @@ from tessera.operators import linear as L
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import tokens_sql
 from tessera.session import scratch_path
-from tessera.sources.sinks import write_model_text
-from tessera.sources.tables import read_model_text, read_table
+from tessera.sources.sinks import write_instances_text, write_model_text
+from tessera.sources.tables import read_instances_text, read_model_text, read_table
 
 DIGITS = 9
 EPOCHS = 2
-ROWS_PER_SHARD = 100
+SHARDS = 8
+SEED = 42
 
 OCC_CTE = f"""lab AS (SELECT d.doc_id, CAST(l.quality AS INTEGER) AS y, {tokens_sql('d.text')} AS t
         FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
@@ -50,9 +51,24 @@ def instances(spark, sf):
             .where(F.col("f").isNotNull()))
 
 
-@register("shuffle_instances")
+@register("instances_text", f"WITH {OCC_CTE} SELECT doc_id, y, pos, f FROM feat")
+def instances_text(spark, sf):
+    # The test tables have no text form of instances: they are written as lines, then read back.
+    path = scratch_path(spark, "instances-text")
+    write_instances_text(_inst(spark, sf), path)
+    rows = read_instances_text(spark, path)
+    return (rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", F.posexplode_outer("features").alias("pos", "f"))
+            .where(F.col("f").isNotNull()))
+
+
+@register("shuffle_instances", f"""
+SELECT d.doc_id, CAST(l.quality AS INTEGER) AS y, md5('{SEED}:' || d.doc_id) AS ord,
+       row_number() OVER (ORDER BY md5('{SEED}:' || d.doc_id), d.doc_id) AS rank
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id""")
 def shuffle_instances(spark, sf):
-    return L.shuffle_order(_inst(spark, sf).select("doc_id", "y"), 42).orderBy("ord", "doc_id")
+    labels = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("int").alias("y"))
+    rows = read_table(spark, sf, "documents").select("doc_id").join(labels, "doc_id")
+    return L.ranked(L.shuffle_order(rows, SEED), ["ord", "doc_id"])
 
 
 @register("train_fullbatch", f"WITH {_train_sql(False)} SELECT f, round(w, {DIGITS}) AS w FROM w2")
@@ -60,10 +76,30 @@ def train_fullbatch(spark, sf):
     return _model(spark, sf).select("f", F.round("w", DIGITS).alias("w"))
 
 
-@register("train_sharded")
+# Each shard's steps in the seeded order, one instance a step, over weights and counts as lists of 1000.
+SHARDED_SQL = f"""WITH RECURSIVE {OCC_CTE},
+inst AS (SELECT DISTINCT doc_id, y, md5('{SEED}:' || doc_id) AS ord FROM lab),
+placed AS (SELECT *, CAST(CAST(('0x' || substr(ord, 1, 8)) AS BIGINT) % {SHARDS} AS INTEGER) AS shard FROM inst),
+counts AS (SELECT p.doc_id, list(CAST(coalesce(o.cnt, 0) AS DOUBLE) ORDER BY g.f) AS c
+           FROM placed p CROSS JOIN (SELECT CAST(unnest(range(1000)) AS INTEGER) AS f) g
+           LEFT JOIN occ o ON o.doc_id = p.doc_id AND o.f = g.f GROUP BY p.doc_id),
+steps AS (SELECT p.shard, p.y, c.c, row_number() OVER (PARTITION BY p.shard ORDER BY p.ord, p.doc_id) AS k
+          FROM placed p JOIN counts c ON c.doc_id = p.doc_id),
+replay AS (
+  SELECT DISTINCT shard, CAST(0 AS BIGINT) AS k, list_transform(range(1000), lambda i: CAST(0 AS DOUBLE)) AS w FROM placed
+  UNION ALL
+  SELECT shard, k, list_transform(list_zip(w, c), lambda z: z[1] + g * z[2]) FROM (
+    SELECT s.shard, s.k, r.w, s.c, 0.002 * (s.y - 1.0 / (1.0 + exp(-list_dot_product(r.w, s.c)))) AS g
+    FROM replay r JOIN steps s ON s.shard = r.shard AND s.k = r.k + 1)),
+done AS (SELECT shard, max_by(w, k) AS w FROM replay GROUP BY shard),
+held AS (SELECT generate_subscripts(w, 1) - 1 AS f, unnest(w) AS w FROM done)
+SELECT CAST(f AS INTEGER) AS f, round(sum(w) / {SHARDS}, {DIGITS}) AS w FROM held
+WHERE f IN (SELECT f FROM feat) GROUP BY f"""
+
+
+@register("train_sharded", SHARDED_SQL)
 def train_sharded(spark, sf):
-    inst = _inst(spark, sf)
-    return L.train_sharded(inst, L.shard_count(inst, ROWS_PER_SHARD))
+    return L.train_sharded(_inst(spark, sf), SHARDS, seed=SEED).select("f", F.round("w", DIGITS).alias("w"))
 
 
 SCORE_SQL = f"""WITH {_train_sql(False)},
@@ -113,5 +149,5 @@ def _ensemble(spark, sf, method):
     # Three models trained in one job, one per document third (doc_id % 3).
     inst = _inst(spark, sf)
     occ = L.occurrences(inst.withColumn("model_key", F.col("doc_id") % 3), "model_key")
-    models = L.train_fullbatch(occ, EPOCHS, n_models=3)
+    models = L.train_fullbatch(occ, EPOCHS)
     return L.ensemble(inst, models, method, 3)

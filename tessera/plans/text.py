@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.text import tokenize
 from tessera.operators import words as W
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import DOC_TOKENS_CTE, LINE_TOKENS_CTE
-from tessera.sources.tables import read_table
+from tessera.session import scratch_path
+from tessera.sources.tables import corpus_lines, read_table, read_text_corpus
 
 ANCHOR = "the"  # stand-in anchor word
 
@@ -76,9 +78,8 @@ SELECT x, y, n FROM bc
 """)
 def stripe_merge(spark, sf):
     toks = W.line_tokens(_docs(spark, sf))
-    even = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 0)), "x", "y", ["n"], pieces=8)
-    odd = W.to_stripes(W.bigram_counts(toks.where(F.col("doc_id") % 2 == 1)), "x", "y", ["n"], pieces=8)
-    return W.from_stripes(W.merge_stripes(even, odd), "x", "y", ["n"])
+    even, odd = (W.bigram_counts(toks.where(F.col("doc_id") % 2 == r)) for r in (0, 1))
+    return W.from_stripes(W.merge_counts(even, odd), "x", "y", ["n"])
 
 
 @register("partition_sorted", f"""
@@ -88,3 +89,16 @@ SELECT CAST(CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 8 AS INTEGER) AS pa
 def partition_sorted(spark, sf):
     c = W.bigram_counts(W.line_tokens(_docs(spark, sf)))
     return W.partition_sorted(c, "x", ["y"], 8)
+
+
+@register("text_corpus_count", f"""
+WITH {LINE_TOKENS_CTE},
+occ AS (SELECT doc_id, line_no, unnest(t) AS token FROM line_toks)
+SELECT token AS word, count(*) AS n, count(DISTINCT (doc_id, line_no)) AS n_lines FROM occ GROUP BY token
+""")
+def text_corpus_count(spark, sf):
+    # The test tables have no text files: the lines of documents are written as a folder of them, then read back.
+    path = scratch_path(spark, "corpus-text")
+    corpus_lines(_docs(spark, sf)).select("line").write.option("lineSep", "\n").text(path)
+    lines = read_text_corpus(spark, path)
+    return W.line_word_count(lines.select("doc_id", "line_no", tokenize(F.col("line")).alias("tokens")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,27 @@ def corpus_lines(documents: DataFrame) -> DataFrame:
     ).where(F.col("line").isNotNull())
 
 
+MAX_BLOCK_ROWS = 200_000  # file blocks whose line counts are sent to every task at most
+
+
+def read_text_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """SRC1: lines of the text files under ``path`` -> (doc_id STRING, line_no BIGINT, line).
+
+    ``doc_id`` is the file's path and ``line_no`` counts from 0 within the file, blank lines included, however the
+    file is split: a line's number is its place in its block of the file plus the lines of the blocks before, which is
+    one row a block. The numbers depend on the files alone, so a second read gives the same. Lines end at ``\\n`` only."""
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select(F.col("_metadata.file_path").alias("doc_id"), F.col("_metadata.file_block_start").alias("_start"),
+                     F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")))
+    # Rows of a block are neighbours within one partition, so their ids run on without a gap.
+    blocks = lines.groupBy("doc_id", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("doc_id").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = blocks.select("doc_id", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    if lines.rdd.getNumPartitions() + len(lines.inputFiles()) <= MAX_BLOCK_ROWS:
+        shift = F.broadcast(shift)  # no more blocks than that; the lines stay where they were read
+    return lines.join(shift, ["doc_id", "_start"]).select("doc_id", (F.col("_at") + F.col("_shift")).alias("line_no"), "line")
+
+
 # ---------------------------------------------------------------- delimited tables (SRC3, F9)
 
 LINEITEM_SCHEMA = T.StructType([
@@ -73,6 +94,11 @@ def _check_sep(sep: str) -> None:
         raise ValueError(f"separator {sep!r} cannot be told from the escapes")
 
 
+def _escapes(kind: T.DataType, sep: str) -> bool:
+    """Whether values of a type can hold something to escape: strings can, numbers and times only such a separator."""
+    return isinstance(kind, T.StringType) or sep[0].isalnum() or sep[0] in "+-.: "
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
     """Write a table as delimited text, timestamps as ``yyyy-MM-dd`` strings (TPC-H ``.tbl`` style).
 
@@ -88,8 +114,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
             c = F.date_format(F.col(f.name), "yyyy-MM-dd")
         else:
             c = F.col(f.name).cast("string")
-        for plain, written in [("\\", "\\b"), (sep[0], "\\s"), *_ESCAPES]:
-            c = F.replace(c, F.lit(plain), F.lit(written))
+        if _escapes(f.dataType, sep):
+            for plain, written in [("\\", "\\b"), (sep[0], "\\s"), *_ESCAPES]:
+                c = F.replace(c, F.lit(plain), F.lit(written))
         cols.append(F.coalesce(c, F.lit(_NULL)))
     df.select(F.concat_ws(sep, *cols).alias("value")).write.mode("overwrite").text(path)
 
@@ -114,6 +141,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
     def value(i, f):
         c = F.col("p")[i]
+        if not _escapes(f.dataType, sep):
+            return c.try_cast(f.dataType).alias(f.name)  # the mark of a null does not cast
         for plain, written in [(sep[0], "\\s"), *_ESCAPES, ("\\", "\\b")]:
             c = F.replace(c, F.lit(written), F.lit(plain))
         return F.when(F.col("p")[i] != _NULL, c).try_cast(f.dataType).alias(f.name)

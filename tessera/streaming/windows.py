@@ -3,14 +3,13 @@
 Windows are on event time (``window(ts, length, slide)``); the studied jobs used batch
 (processing) time with an inverse reduce, which Spark's state store makes unnecessary.
 The stream path reads files from a folder (``maxFilesPerTrigger`` per micro-batch),
-keeps state in ``checkpointLocation`` and writes through ``foreachBatch`` (complete
-mode, each epoch to its own folder, so a replayed epoch overwrites only itself) or to a
-Parquet sink partitioned by window start (append mode, after the watermark).
+keeps state in ``checkpointLocation`` and writes through ``foreachBatch``: the changed rows
+of a batch to its own folder (update mode, so a replayed epoch overwrites only itself), the
+whole result (complete mode), or one folder per window.
 """
 
 from __future__ import annotations
 
-import math
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,18 +26,23 @@ def _session_tz(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.session.timeZone")
 
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def event_time(ts: Column, tz: str) -> Column:
-    """Event time usable by ``withWatermark`` (which refuses TIMESTAMP_NTZ): the wall
-    clock read as UTC, so windows align the same whatever the session time zone."""
-    return F.from_utc_timestamp(ts.cast("timestamp"), tz)
+    """Event time usable by ``withWatermark`` (which refuses TIMESTAMP_NTZ): the wall clock read as UTC.
+
+    Only in a session of UTC: elsewhere an hour that clocks skip or repeat has no wall-clock window of its own, and a
+    stream would print other windows than a batch."""
+    if tz not in UTC_NAMES:
+        raise ValueError(f"streams count wall-clock windows in UTC; spark.sql.session.timeZone is {tz!r}")
+    return ts.cast("timestamp")
 
 
-def window_start_text(w: Column, ts_type: T.DataType, tz: str) -> Column:
-    """Window start as ``yyyy-MM-dd HH:mm:ss`` wall-clock text."""
-    start = w["start"]
-    if isinstance(ts_type, T.TimestampType):
-        start = F.to_utc_timestamp(start, tz)
-    return F.date_format(start, "yyyy-MM-dd HH:mm:ss")
+def window_start_text(w: Column) -> Column:
+    """Window start as ``yyyy-MM-dd HH:mm:ss`` text: the wall clock of a TIMESTAMP_NTZ (a cast, in any session), the
+    session's clock of a TIMESTAMP."""
+    return w["start"].cast("string")
 
 
 def positions(events: DataFrame) -> DataFrame:
@@ -51,6 +55,23 @@ def positions(events: DataFrame) -> DataFrame:
                          F.when(click, k).otherwise(F.col("value")).alias("y"))
 
 
+# Fixed columns of a comma line: x and y of a ``click``, of any other type, and the time.
+CLICK_AT, OTHER_AT, TIME_AT = (10, 11), (8, 9), 2
+
+
+def parse_event_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """SRC10: comma lines ``type,id,ts,..`` (batch or stream) -> (ts, x, y).
+
+    Where x and y stand depends on the type, and so does the length of a line. What is missing or is no number or time is
+    null, so the line falls into no region (or no window)."""
+    p = F.split(F.col(column), ",", -1)
+    click = F.col("p")[0] == "click"
+    at = lambda i: F.get("p", F.lit(i)).try_cast("double")
+    return (lines.select(p.alias("p"))
+            .select(F.get("p", F.lit(TIME_AT)).try_cast("timestamp_ntz").alias("ts"),
+                    *[F.when(click, at(c)).otherwise(at(o)).alias(n) for n, c, o in zip("xy", CLICK_AT, OTHER_AT)]))
+
+
 def classify_region(x: Column, y: Column, regions=REGIONS) -> Column:
     """Name of the first region whose box holds (x, y), else null (F5 drops it).
 
@@ -70,7 +91,7 @@ def window_counts(events: DataFrame, length: str = "1 hour", slide: str | None =
     Grouping is by the window struct itself (keeps the watermark usable in streams)."""
     w = F.window("ts", length, slide) if slide else F.window("ts", length)
     keys = keys or []
-    text = window_start_text(F.col("w"), events.schema["ts"].dataType, _session_tz(events.sparkSession))
+    text = window_start_text(F.col("w"))
     return (events.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
             .select(*keys, text.alias("window_start"), "n"))
 
@@ -78,53 +99,36 @@ def window_counts(events: DataFrame, length: str = "1 hour", slide: str | None =
 def region_window_counts(events: DataFrame, length: str = "1 hour", slide: str | None = None,
                          regions=REGIONS) -> DataFrame:
     """ST2: events per (region, window); events outside every region are dropped."""
-    p = positions(events)
+    return position_window_counts(positions(events), length, slide, regions)
+
+
+def position_window_counts(p: DataFrame, length: str = "1 hour", slide: str | None = None, regions=REGIONS) -> DataFrame:
+    """ST2 from (ts, x, y)."""
     r = p.select("ts", classify_region(F.col("x"), F.col("y"), regions).alias("region"))
     return window_counts(r.where(F.col("region").isNotNull()), length, slide, ["region"])
 
 
 # ---------------------------------------------------------------- stream replay (SRC9, ST4-ST8, SNK5)
 
-ROWS_PER_FILE = 1_000_000  # replay file size target
-
-
-def replay_files(events: DataFrame, path: str, n_batches: int, order_col: str = "event_id",
-                 rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Stand-in for a folder that receives the events of one period at a time: the
-    table cut into ``n_batches`` equal ``order_col`` ranges, written one range after
-    another, each range as ``files_per_batch`` files in parallel. Returns
-    ``files_per_batch``: read with that many files per trigger, one micro-batch is one
-    range.
-
-    The file source replays files in modification-time order, and every file of a
-    range is written before the next range starts, so the micro-batches follow
-    ``order_col`` (with event time and a watermark, a range replayed out of order
-    would have its rows dropped as late). Each range is a filtered scan (the range
-    predicate reaches the Parquet reader).
-    """
-    lo, hi, n = events.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
-    if lo is None:
-        return 1
-    files_per_batch = max(1, math.ceil(n / (n_batches * rows_per_file)))
-    width = (hi - lo) // n_batches + 1
-    for i in range(n_batches):
-        a, b = lo + i * width, lo + (i + 1) * width
-        part = events.where((F.col(order_col) >= a) & (F.col(order_col) < b))
-        part = part.coalesce(1) if files_per_batch == 1 else part.repartitionByRange(files_per_batch, order_col)
-        part.sortWithinPartitions(order_col).write.mode("append").parquet(path)
-    return files_per_batch
-
-
 def read_replay(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1,
-                watermark: str | None = "10 minutes") -> DataFrame:
-    """SRC9/SRC11: the folder as a stream, ``files_per_trigger`` files per micro-batch,
-    only ``part-*`` files; ``ts`` as event time with a watermark."""
+                watermark: str | None = None) -> DataFrame:
+    """SRC9/SRC11: the folder as a stream, ``files_per_trigger`` files per micro-batch in order of their modification
+    time, only ``part-*`` files; ``ts`` as event time.
+
+    Without a ``watermark`` no row is ever late, and state grows with the number of windows. With one, rows of windows
+    that it has passed are dropped; ``late_rows`` tells how many."""
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
          .option("pathGlobFilter", "part-*").parquet(path))
     s = s.withColumn("ts", event_time(F.col("ts"), _session_tz(spark)))
     return s.withWatermark("ts", watermark) if watermark else s
 
 
+def late_rows(query) -> int:
+    """Partial counts that a finished query dropped behind its watermark (rows of one task and window count once), over
+    the micro-batches that Spark still remembers (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 @contextmanager
 def _state_partitions(spark: SparkSession, n: int | None):
     """Number of state-store partitions of a stateful query started inside the block.
@@ -165,17 +169,18 @@ def run_complete(result: DataFrame, out_base: str, checkpoint: str,
 
     Each epoch's full result goes to ``{out_base}/epoch=<id>``; the last epoch is the
     answer. ``per_batch(df, epoch_id)`` (optional) is an extra action per finished
-    batch (e.g. counting windows); the batch is persisted while both outputs read it.
+    batch (e.g. counting windows); then the batch is persisted while both outputs read it.
     """
     spark = result.sparkSession
     last = {"epoch": None}
 
     def sink(df: DataFrame, epoch_id: int) -> None:
-        df.persist()
+        if per_batch is not None:
+            df.persist()
         df.write.mode("overwrite").parquet(f"{out_base}/epoch={epoch_id}")
         if per_batch is not None:
             per_batch(df, epoch_id)
-        df.unpersist()
+            df.unpersist()
         last["epoch"] = epoch_id
 
     with _state_partitions(spark, state_partitions):
@@ -192,14 +197,41 @@ def run_complete(result: DataFrame, out_base: str, checkpoint: str,
     return spark.read.parquet(f"{out_base}/epoch={last['epoch']}")
 
 
-def write_windows_append(result: DataFrame, path: str, checkpoint: str,
-                         timeout_s: int | None = None, state_partitions: int | None = None):
-    """SNK5: append mode to Parquet, one folder per window start; a window is written
-    once the watermark passes its end (the last open window stays in state)."""
+def run_update(result: DataFrame, out_base: str, checkpoint: str, keys: list[str], value: str = "n",
+               timeout_s: int | None = None, state_partitions: int | None = None) -> DataFrame:
+    """ST4-ST6: run a streaming aggregation over all available input; each micro-batch writes only the rows that it
+    changed, to ``{out_base}/epoch=<id>``. The answer is the last value of each of ``keys`` over all epochs, those
+    of earlier runs of the same checkpoint included."""
+    spark = result.sparkSession
+
+    def sink(df: DataFrame, epoch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out_base}/epoch={epoch_id}")
+
+    with _state_partitions(spark, state_partitions):
+        q = (result.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _finish(q, timeout_s)
+    try:
+        seen = spark.read.parquet(out_base)
+    except AnalysisException:  # there was no input at all
+        return spark.createDataFrame([], result.schema)
+    return seen.groupBy(*keys).agg(F.max_by(value, "epoch").alias(value)).select(*result.columns)
+
+
+def write_windows(result: DataFrame, path: str, checkpoint: str, keys: list[str] | None = None,
+                  timeout_s: int | None = None, state_partitions: int | None = None):
+    """SNK5: one folder per window, ``{path}/window_start=../`` (and ``key=../`` below it for each of ``keys``), holding the
+    window's count. Returns the finished query.
+
+    Update mode: a micro-batch overwrites the folders of the windows that it changed and no others, so each window has
+    its folder from its first event on, the last one of the input too, and a replayed epoch overwrites with the same."""
+    def sink(df: DataFrame, epoch_id: int) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("window_start", *(keys or [])).parquet(path))
+
     with _state_partitions(result.sparkSession, state_partitions):
-        q = (result.writeStream.outputMode("append").format("parquet").partitionBy("window_start")
-             .option("path", path).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+        q = (result.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _finish(q, timeout_s)
     return q
 

@@ -1,8 +1,11 @@
 """Graph build, PageRank mass, missing structure, resume, top-k, adjacency text, log-sum-exp."""
 
 import math
+import os
+import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
@@ -64,7 +67,8 @@ def test_resume_equals_straight_run(spark, tmp_dir):
     resumed = G.ppr_run(G.read_iteration(spark, tmp_dir, 1), edges, ["3"], 2, save_base=tmp_dir, start=1)
     got = {r.id: r.rank for r in resumed.collect()}
     assert all(abs(got[k] - straight[k]) < 1e-15 for k in straight)
-    assert spark.read.parquet(f"{tmp_dir}/iter=3").count() == 5
+    assert sorted(d for d in os.listdir(tmp_dir) if d.startswith("iter=")) == ["iter=0001", "iter=0002", "iter=0003"]
+    assert spark.read.parquet(tmp_dir).where("iter = 3").count() == 5
 
 
 def test_topk_format_and_order(spark):
@@ -78,8 +82,19 @@ def test_build_stats_and_duplicates(spark):
     st = G.build_state(nodes, edges, ["1", "2"])
     s = G.graph_stats(st, ["1", "2"]).first()
     assert (s.n_nodes, s.n_edges, s.n_active, s.n_dangling, s.n_sources) == (5, 6, 4, 1, 2)
-    dup = G.duplicate_ids(nodes.union(nodes.where("id = '3'"))).collect()
-    assert [(r.id, r.n) for r in dup] == [("3", 2)]
+    twice = nodes.union(nodes.where("id = '3'"))
+    assert [(r.id, r.n) for r in G.duplicate_ids(twice).collect()] == [("3", 2)]
+    with pytest.raises(Exception, match="node listed twice: 3"):
+        G.build_state(twice, edges, ["1"]).collect()
+
+
+def test_a_saved_table_with_a_node_twice_raises(spark, tmp_dir):
+    from tessera.sources.sinks import write_iteration
+    nodes, edges = _graph(spark, EDGES)
+    st = G.build_state(nodes, edges, ["1"])
+    write_iteration(st.union(st.where("id = '4'")), tmp_dir, 7)
+    with pytest.raises(Exception, match="node listed twice: 4"):
+        G.read_iteration(spark, tmp_dir, 7).collect()
 
 
 def test_adjacency_text_keeps_isolated_nodes(spark, tmp_dir):
@@ -119,6 +134,77 @@ def test_step_counters_by_observe(spark):
     want = [sum(_py_ppr(ids, EDGES, ["1"], k).values()) for k in (1, 2, 3)]
     assert all(abs(m["mass"] - w) < 1e-12 for m, w in zip(metrics, want))
     assert abs(metrics[0]["mass"] - 1.0) < 1e-12 and metrics[2]["mass"] < 1.0
+    # By hand: 1->2, 1->4, 2->3, 2->5, 3->1, 4->5; the two to "5" reach no node.
+    assert all((m["messages"], m["received"], m["missing"]) == (6, 4, 2) for m in metrics)
+
+
+def _hub_graph(n=600):
+    """Node ``h`` sends to every other node: a third of all edges; the others to the next two."""
+    ids = [f"v{i}" for i in range(n)]
+    edges = [("h", v) for v in ids] + [(ids[i], ids[(i + 1) % n]) for i in range(n)] + [(ids[i], "h") for i in range(n)]
+    return ids + ["h"], edges
+
+
+def test_hub_of_a_third_of_all_edges(spark):
+    ids, edges = _hub_graph()
+    n, e = _graph(spark, edges, ids)
+    state = G.build_state(n, e, ["v1"])
+    want = _py_ppr(ids, edges, ["v1"], 3)
+    for hub_edges in (50, 10**6):  # with the hub split off, and without
+        metrics = []
+        got = {r.id: r.rank for r in G.ppr_run(state, e, ["v1"], 3, hub_edges=hub_edges, metrics=metrics).collect()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+        assert all((m["messages"], m["missing"]) == (1800, 0) for m in metrics)
+    made = G.prepare_edges(e, hub_edges=50)
+    assert [r.id for r in made.hubs.collect()] == ["h"]
+    assert made.of_hubs.count() == 600 and made.plain.count() == 1200
+    sizes = [r.n for r in made.of_hubs.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 600 / 3  # not in one partition
+    made.release()
+
+
+def test_the_state_is_not_shuffled_in_a_step(spark):
+    ids, edges = _hub_graph(80)
+    n, e = _graph(spark, edges, ids)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = G.prepare_edges(e, hub_edges=50)
+        name, state = G.place_state(G.build_state(n, e, ["v1"]))
+        for _ in range(2):
+            nxt = G.ppr_step(state, made, ["v1"])
+            plan = nxt._jdf.queryExecution().executedPlan().toString()
+            assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan) == ["dst"], plan  # only the received sums
+            last, state = G.place_state(nxt)
+            spark.sql(f"DROP TABLE {name}")
+            name = last
+        spark.sql(f"DROP TABLE {name}")
+        made.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_run_leaves_no_tables_and_one_file_a_bucket(spark, tmp_dir):
+    nodes, edges = _graph(spark, EDGES)
+    G.ppr_run(G.build_state(nodes, edges, ["1"]), edges, ["1"], 2, save_base=tmp_dir)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_")]
+    files = [f for f in os.listdir(tmp_dir + "/iter=0002") if f.startswith("part-")]
+    assert 0 < len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_partition_graph_by_hash_is_physical(spark):
+    nodes, edges = _graph(spark, EDGES)
+    got = G.partition_graph(G.build_state(nodes, edges, ["1"]), 4).withColumn("at", F.spark_partition_id()).collect()
+    assert len(got) == 5 and all(r.part == r["at"] for r in got)
+
+
+def test_adjacency_text_round_trip(spark, tmp_dir):
+    from tessera.sources.sinks import write_adjacency_text
+    nodes, edges = _graph(spark, EDGES)
+    write_adjacency_text(nodes, edges, tmp_dir + "/adj")
+    assert "5" in {r.value for r in spark.read.text(tmp_dir + "/adj").collect()}
+    n, e = read_adjacency_text(spark, tmp_dir + "/adj")
+    assert sorted(r.id for r in n.collect()) == ["1", "2", "3", "4", "5"] and sorted(map(tuple, e.collect())) == sorted(EDGES)
 
 
 def test_top_ranked_keeps_the_order_of_small_ranks(spark):

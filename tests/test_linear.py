@@ -41,7 +41,7 @@ def test_one_shard_equals_sequential_replay(spark):
 
 def test_shards_average(spark):
     inst = _inst(spark, ROWS)
-    ordered = L.shuffle_order(inst, 3).withColumn("shard", F.pmod("ord", F.lit(2)))
+    ordered = L.shuffle_order(inst, 3).withColumn("shard", F.conv(F.substring("ord", 1, 8), 16, 10).cast("long") % 2)
     per_shard = {}
     for r in ordered.orderBy("ord", "doc_id").collect():
         per_shard.setdefault(r.shard, []).append((r.doc_id, r.y, list(r.features)))
@@ -96,3 +96,45 @@ def test_instance_and_model_text_round_trip(spark, tmp_dir):
     assert back == [(1, -0.25), (20, 1e-7)]
     write_model(model.withColumn("model_id", F.lit(2)), tmp_dir + "/mp")
     assert spark.read.parquet(tmp_dir + "/mp").where("model_id = 2").count() == 2
+
+
+def test_seeded_order_is_numbered_without_a_single_task(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("y"))
+    got = L.ranked(L.shuffle_order(rows, 11), ["ord", "doc_id"], partitions=7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan or "SinglePartition" not in plan.split("rangepartitioning")[0]
+    seen = sorted((r["rank"], r.doc_id, r.ord) for r in got.collect())
+    assert [r[0] for r in seen] == list(range(1, 3001))
+    assert [r[2] for r in seen] == sorted(r[2] for r in seen) and sorted(r[1] for r in seen) == list(range(3000))
+    again = sorted((r["rank"], r.doc_id, r.ord) for r in L.ranked(L.shuffle_order(rows, 11), ["ord", "doc_id"], partitions=3).collect())
+    assert again == seen
+    assert [r[1] for r in sorted((r["rank"], r.doc_id) for r in L.ranked(L.shuffle_order(rows, 12), ["ord"]).collect())] != [r[1] for r in seen]
+
+
+def test_ranked_with_ties_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, "a")] * 5 + [(0, "b")], "k int, v string")
+    got = L.ranked(rows, ["k"], partitions=4).collect()
+    assert sorted(r["rank"] for r in got) == [1, 2, 3, 4, 5, 6] and min(got, key=lambda r: r["rank"]).v == "b"
+    assert L.ranked(rows.where("1 = 0"), ["k"]).count() == 0
+
+
+def test_a_shard_is_streamed(spark):
+    """Batches of two rows give the same model: a shard is not one frame."""
+    rows = [(i, i % 2, [i % 5, i % 3 + 5]) for i in range(60)]
+    inst = _inst(spark, rows)
+    whole = {r.f: r.w for r in L.train_sharded(inst, 3).collect()}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert {r.f: r.w for r in L.train_sharded(inst, 3).collect()} == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_instances_written_as_text_come_back(spark, tmp_dir):
+    from tessera.sources.sinks import write_instances_text
+    inst = _inst(spark, ROWS)
+    write_instances_text(inst, tmp_dir + "/t")
+    assert {"5 spam", "2 ham 2 4"} <= {r.value for r in spark.read.text(tmp_dir + "/t").collect()}
+    back = read_instances_text(spark, tmp_dir + "/t").collect()
+    assert sorted((int(r.doc_id), r.y, list(r.features)) for r in back) == ROWS

@@ -86,3 +86,12 @@ def test_delimited_round_trip_of_odd_values(spark, tmp_dir):
     assert sorted(map(repr, (r[0] for r in read_delimited(spark, tmp_dir + "/one", T.StructType(one)).collect()))) == ["''", "'x'", "None"]
     with pytest.raises(ValueError):
         write_delimited(spark.createDataFrame(rows, schema), tmp_dir + "/no", "\\")
+
+
+def test_concatenation_of_too_many_repeats_raises(spark):
+    from tessera.operators import relational as R
+    few = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b")], "k int, v string")
+    assert [tuple(r) for r in R.concat_group(few, ["k"], "v", "t").collect()] == [(1, "abb", 3)]
+    many = spark.range(R.MAX_REPEATS + 1).select(F.lit(1).alias("k"), F.lit("v").alias("v"))
+    with pytest.raises(Exception, match="too many repeats"):
+        R.concat_group(many, ["k"], "v", "t").collect()

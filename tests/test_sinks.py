@@ -16,6 +16,13 @@ def test_tsv_with_map_and_overwrite(spark, tmp_dir):
     assert lines == ['a\t{"b":2,"c":1}', 'd\t{"e":5}']
 
 
+def test_tsv_values_never_end_their_field_or_line(spark, tmp_dir):
+    df = spark.createDataFrame([("a\tb", "c\nd\re", 1), ("back\\slash", None, 2)], "x string, y string, n int")
+    write_tsv(df, tmp_dir + "/o")
+    lines = sorted(r.value for r in spark.read.text(tmp_dir + "/o").collect())
+    assert lines == ["a\\tb\tc\\nd\\re\t1", "back\\\\slash\t\t2"]
+
+
 def test_live_trigger_runs_and_stops(spark, tmp_dir):
     ev = spark.createDataFrame([(1, "2024-01-01 00:10:00")], "event_id long, ts string") \
         .select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))

@@ -160,3 +160,51 @@ def test_tokenizer_is_linear_in_a_long_run(spark):
     began = time.time()
     assert df.select(F.size(tokenize(F.col("t")))).first()[0] == 2
     assert time.time() - began < 20
+
+
+def test_physical_partition_holds_its_part_only(spark):
+    from tessera.operators import words as W
+    rows = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") % 700).cast("string")).alias("x"), F.col("id").alias("n"))
+    got = W.partition_sorted(rows, "x", ["n"], 13).withColumn("at", F.spark_partition_id())
+    parts = got.select("part", "at").distinct().collect()
+    assert all(r.part == r["at"] for r in parts) and len(parts) == 13
+    for at in (0, 12):
+        here = [(r.x, r.n) for r in got.where(F.col("at") == at).collect()]
+        assert here == sorted(here) and here
+
+
+def test_merge_of_unlike_stripes_agrees_on_pieces(spark):
+    from tessera.operators import words as W
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("x"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("y"), F.lit(1).cast("long").alias("n"))
+    a = hot.unionByName(spark.createDataFrame([("cold", "u", 2), ("left", "v", 1)], "x string, y string, n long"))
+    b = spark.createDataFrame([("hot", "p7", 5), ("hot", "new", 1), ("cold", "u", 3), ("right", "w", 4)], "x string, y string, n long")
+    merged = W.merge_counts(a, b, max_entries=20_000)
+    sizes = merged.select("x", "piece", F.size("stripe").alias("s")).collect()
+    assert max(r.s for r in sizes) < 25_000  # about max_entries: pieces are cut by hash
+    assert len([r for r in sizes if r.x == "hot"]) == 51 and {r.piece for r in sizes if r.x != "hot"} == {0}
+    long = W.from_stripes(merged, "x", "y", ["n"])
+    got = {r.x: (r.k, r.n) for r in long.groupBy("x").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect()}
+    assert got == {"hot": (1_000_001, 1_000_006), "cold": (1, 5), "left": (1, 1), "right": (1, 4)}
+    assert long.where("y = 'p7'").first().n == 6
+
+
+def test_text_corpus_numbers_lines_of_split_files(spark, tmp_dir):
+    import os
+    from tessera.sources.tables import read_text_corpus
+    os.makedirs(tmp_dir + "/c")
+    files = {"a.txt": "".join(f"line {i}\n" for i in range(500)), "b.txt": "first\n\n  third\r\nlast without end",
+             "c c.txt": "", "d.txt": "\n\n"}
+    for name, text in files.items():
+        with open(f"{tmp_dir}/c/{name}", "w", newline="") as fh:
+            fh.write(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        corpus = read_text_corpus(spark, tmp_dir + "/c")
+        rows = sorted((os.path.basename(r.doc_id), r.line_no, r.line) for r in corpus.collect())
+        assert rows == sorted((os.path.basename(r.doc_id), r.line_no, r.line) for r in read_text_corpus(spark, tmp_dir + "/c").collect())
+        assert spark.read.text(tmp_dir + "/c").rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(n, i, x) for n, t in files.items() for i, x in enumerate(t[:-1].split("\n") if t.endswith("\n") else t.split("\n")) if t]
+    assert rows == sorted(want)
