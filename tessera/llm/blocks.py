@@ -3,16 +3,18 @@
 
 A *word* is ``[^\\x20\\x09-\\x0D]+``. Everything here works on one bounded slice of rows inside a
 task; Spark deals the rows. Word hashes are multilinear over bytes (random 64-bit weights per byte
-value and position), then mixed; equal words always have equal hashes.
+value and position), then mixed; equal words always have equal hashes. From byte 65,536 on, the weights of
+each further block of that many bytes are those of the first times a number of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
 _RNG = np.random.default_rng(20240229)
@@ -34,6 +36,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def place_weights(place: np.ndarray) -> np.ndarray:
+    """The weight of each byte place in a hashed run of bytes."""
+    low = _PLACE[place & 0xFFFF]
+    far = np.flatnonzero(place > 0xFFFF)
+    if len(far):
+        low[far] *= mix((place[far] >> 16).astype(np.uint64)) | np.uint64(1)
+    return low
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -89,7 +100,7 @@ class Words:
         at = np.zeros(size, np.int64)
         at[self.start] = self.start
         place = np.arange(size) - np.maximum.accumulate(at)
-        total = np.add.reduceat(_BYTE[self.data] * _PLACE[place & 0xFFFF], self.start)
+        total = np.add.reduceat(_BYTE[self.data] * place_weights(place), self.start)
         return mix(total + (self.end - self.start).astype(np.uint64) * _STEP[63])
 
     def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,6 +149,13 @@ def released(work, *tables):
     return out
 
 
+def privately(docs: DataFrame, used: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` over ``docs`` with every column but the ``used`` ones under a name that nothing else has; its result gives the
+    columns of ``docs`` back under their own names. So extra columns may have any names."""
+    inner = [c if c in used else f"__extra{i}" for i, c in enumerate(docs.columns)]
+    return work(docs.toDF(*inner)).select(*inner).toDF(*docs.columns)
+
+
 def free_name(taken: list[str], name: str) -> str:
     """A column name that no column of the input has (Spark names ignore case)."""
     low = {c.lower() for c in taken}

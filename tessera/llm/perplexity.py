@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import _BYTE, _PLACE, _SPACE, _STEP, Words, mix, slices, words
+from .blocks import _BYTE, _SPACE, _STEP, Words, mix, place_weights, slices, words
 
 ORDER = 5
 BODY = (1 << 40) - 1
@@ -214,7 +214,7 @@ def repeated_lines(w: Words) -> np.ndarray:
     at = np.zeros(w.data.size, np.int64)
     at[start] = start
     place = np.arange(w.data.size) - np.maximum.accumulate(at)
-    h = np.add.reduceat(_ANY[w.data] * _PLACE[place & 0xFFFF], start)
+    h = np.add.reduceat(_ANY[w.data] * place_weights(place), start)
     size = np.add.reduceat((~brk).astype(np.int64), start)
     row = np.searchsorted(w.off, start, side="right") - 1
     held = np.diff(np.searchsorted(w.start, np.append(start, w.data.size))) > 0
