@@ -10,23 +10,31 @@ best totals are nearly equal is *rejected*.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import give_back
+from .blocks import give_back, privately
 
 PIECE = 2000
 FINE = 400  # texts up to this many bytes are measured at more levels, to split ties
 LEVELS = (5, 6, 9, 12)
-_NOT_LETTER = re.compile(r"[\W\d_]+")
+
+
+@cache
+def _not_letters() -> re.Pattern:
+    """Runs without a letter. Some characters that Python counts as those of words are numerals (½ ² ① Ⅷ), not letters."""
+    numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+    return re.compile(rf"[\W\d_{re.escape(numerals)}]+")
 
 
 def fold(text: str | None) -> str:
     """Lower-case letters, other runs as one space."""
-    return _NOT_LETTER.sub(" ", text.lower()).strip() if text else ""
+    return _not_letters().sub(" ", text.lower()).strip() if text else ""
 
 
 def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_bytes: int = 8000,
@@ -129,7 +137,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, unchanged (all columns of simple type)."""
+    """The rows of ``docs`` whose language is not rejected, unchanged (all columns of simple type, extra ones of any name)."""
     slim = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
     dictionaries = language_dictionaries(slim.where("not held_out"))
-    return predict(docs, dictionaries, keep=docs.columns).where("not rejected").select(*docs.columns)
+    return privately(docs, ["doc_id", "text", "lang"], lambda d: predict(d, dictionaries, keep=d.columns).where("not rejected"))
