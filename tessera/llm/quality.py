@@ -103,9 +103,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows:
 
 
 def train(rated: DataFrame) -> tuple | None:
-    """(weights, thresholds, grades) from a bounded sample of (text, label) rows, which meet in one
-    task; null texts count as empty. None without two grades."""
-    sample = rated.coalesce(1)
+    """(weights, thresholds, grades) from a bounded sample of (text, label) rows, which move to one task
+    once they are joined (the join and its scan stay in many); null texts count as empty. None without two grades."""
+    sample = rated.repartition(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0), b.column(1).to_numpy()) for b in slices(batches)]
