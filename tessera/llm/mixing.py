@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import free_name
+from .blocks import privately
 
 UNIT = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -135,10 +135,10 @@ def _nearer(rated: DataFrame, cap: int) -> DataFrame:
 def mix_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                weights: list[int] = (5, 2, 1), share: float = 1.5, cap: int = 2,
                chunks: int = 256) -> DataFrame:
-    """Copies of each document in the mix: key, source, size, source_size, target, copies, n.
+    """Copies of each document in the mix: key, source, size, source_size, target, n, first, whole, more, r_n.
 
-    One row per group of equal (key, source, size); ``n`` rows of the input stand behind it and
-    ``copies`` lists the copies of each of them. Documents without words get no copy. A null key or
+    One row per group of equal (key, source, size); ``n`` rows of the input stand behind it, and ``copies_at(i)`` is
+    how often the mix takes the i-th of them. Documents without words get no copy. A null key or
     source is a value like any other. Extra columns of ``docs`` are not read.
     """
     slim = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
@@ -180,37 +180,58 @@ def mix_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
               .join(rated, F.equal_null("source", F.col("r_source")) & (F.col("size") == F.col("r_size")), "left")
               .join(targets.withColumnRenamed("source", "t_source"),
                     F.equal_null("source", F.col("t_source"))))
-    copies = F.expr("transform(sequence(0L, n - 1), i -> coalesce(whole + ((base + ahead + i + 1) * more) div r_n "
-                    "- ((base + ahead + i) * more) div r_n, 0L))")
-    return placed.select("key", "source", "size", "source_size", "target", "n", copies.alias("copies"))
+    return placed.select("key", "source", "size", "source_size", "target", "n",
+                         (F.col("base") + F.col("ahead")).alias("first"), "whole", "more", "r_n")
+
+
+def copies_at(i: str) -> Column:
+    """How often the mix takes the ``i``-th row (from 0) of a group of ``mix_copies``."""
+    return F.expr(f"coalesce(whole + ((first + {i} + 1) * more) div r_n - ((first + {i}) * more) div r_n, 0L)")
+
+
+RUN = 4096  # rows of one group that one row stands for while groups are dealt out
 
 
 def mix_report(docs: DataFrame, **kw) -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row per document of ``docs``."""
-    return (mix_copies(docs, **kw)
-            .select(F.col("key").alias("doc_id"), "size", "source_size", "target", F.explode("copies").alias("copies"))
-            .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * F.col("copies")).cast("long").alias("taken"),
-                    F.col("copies").cast("int").alias("copies")))
+    """doc_id, size, source_size, target, taken, copies: one row per document of ``docs``.
+
+    Groups of equal rows are cut into runs, which are dealt out before they become rows, so that a group of any
+    size is the work of many tasks."""
+    runs = (mix_copies(docs, **kw).withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))))
+            .repartition("key", "__from"))
+    rows = runs.withColumn("__i", F.explode(F.sequence("__from", F.least(F.col("__from") + RUN, F.col("n")) - 1))).withColumn("copies", copies_at("__i"))
+    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target",
+                       (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.col("copies").cast("int").alias("copies"))
 
 
 def mix_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken (all columns kept).
+    """The mix itself: the rows of ``docs``, each as often as it is taken (all columns kept, extra ones of any name).
 
-    Rows with equal key, source and size differ in no input of the decision; their list of copies
-    is dealt out in order of their place, so that the total is the one decided.
+    Rows with equal key, source and size differ in no input of the decision. Such rows are numbered, and the number
+    decides: their place in their partition plus the rows of the group in the partitions before.
     """
-    key, text, source = kw.get("key", "doc_id"), kw.get("text", "text"), kw.get("source", "source")
-    cols = docs.columns
+    used = [kw.get("key", "doc_id"), kw.get("text", "text"), kw.get("source", "source")]
+    return privately(docs, used, lambda d: _mixed(d, *used, **kw))
+
+
+def _mixed(docs: DataFrame, key: str, text: str, source: str, **kw) -> DataFrame:
     decided = mix_copies(docs, **kw).select(
-        F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__z"),
-        F.col("n").alias("__n"), F.col("copies").alias("__c"))
+        F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__z"), "n", "first", "whole", "more", "r_n")
     sized = docs.withColumn("__size", word_count(F.col(text)))
     joined = sized.join(decided, F.equal_null(sized[key], F.col("__k"))
                         & F.equal_null(sized[source].cast("string"), F.col("__s"))
                         & (F.col("__size") == F.col("__z")))
-    place = Window.partitionBy("__k", "__s", "__z").orderBy(F.lit(1))
-    one = joined.where("__n = 1").withColumn("__take", F.element_at("__c", 1))
-    many = joined.where("__n > 1").withColumn("__take", F.element_at("__c", F.row_number().over(place)))
-    both = one.unionByName(many).where("__take > 0")
-    return both.select(*cols, F.explode(F.sequence(F.lit(1), F.col("__take").cast("int"))).alias("__i")).select(*cols)
+    one = joined.where("n = 1").withColumn("__take", copies_at("0L"))
+    group = ["__k", "__s", "__z"]
+    # Checkpointed, so that the numbers stay if a task runs again.
+    many = joined.where("n > 1").checkpoint().withColumn("__at", F.monotonically_increasing_id())
+    many = many.withColumn("__p", F.shiftrightunsigned("__at", 33))
+    before = Window.partitionBy(*group).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    counts = (many.groupBy(*group, "__p").agg(F.count(F.lit(1)).alias("__c"))
+              .select(*[F.col(c).alias(c + "b") for c in [*group, "__p"]], F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__ahead")))
+    inside = Window.partitionBy(*group, "__p").orderBy("__at")  # rows of one partition at most
+    same = [F.equal_null(c, c + "b") for c in group] + [F.col("__p") == F.col("__pb")]
+    many = (many.withColumn("__r", F.row_number().over(inside) - 1).join(counts, same)
+            .withColumn("__take", copies_at("(__ahead + __r)")))
+    both = one.select(*docs.columns, "__take").unionByName(many.select(*docs.columns, "__take")).where("__take > 0")
+    return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__take").cast("int"))))

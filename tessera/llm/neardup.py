@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import _STEP, Words, give_back, mix, slices, words
+from .blocks import _STEP, Words, give_back, mix, privately, slices, words
 from .components import components, gathered, joined_components
 
 SHINGLE = 5
@@ -274,7 +274,11 @@ def duplicate_report(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row of ``docs`` of each class of near duplicates: the one of the smallest doc_id (nulls
-    last), of equal ones the one of the smallest text hash; repeated rows are reduced to one."""
+    last), of equal ones the one of the smallest text hash; repeated rows are reduced to one. Extra columns may have any names."""
+    return privately(docs, ["doc_id", "text"], lambda d: _first_of_classes(d, threshold))
+
+
+def _first_of_classes(docs: DataFrame, threshold: float) -> DataFrame:
     found = near_duplicates(docs, threshold)
     last = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("id").alias("i"))
     kept = (found.groupBy("comp").agg(F.min(last).alias("k")).select(F.col("k.d").alias("__d"), F.col("k.i").alias("__i")))
