@@ -114,12 +114,12 @@ HUB_EDGES = 100_000  # a node of fewer out-edges is never a hub
 
 @dataclass
 class Edges:
-    """The edges of a run: those of ordinary nodes bucketed on ``src`` like the state on ``id``, those of hubs spread by
-    ``dst``, and the hubs (``id``). ``table`` is the catalog's name of the first."""
+    """The edges of a run: those of ordinary nodes bucketed on ``src`` like the state on ``id`` (``table`` is their name in the
+    catalog), and, where there are hubs, their edges spread by ``dst`` and the hubs (``id``)."""
     plain: DataFrame
-    of_hubs: DataFrame
-    hubs: DataFrame
     table: str
+    of_hubs: DataFrame | None = None
+    hubs: DataFrame | None = None
 
     def release(self) -> None:
         """Forget the table; its files stay in the shared folder."""
@@ -139,20 +139,24 @@ def _dealt(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
-def prepare_edges(edges: DataFrame, max_hubs: int = MAX_HUBS, hub_edges: int = HUB_EDGES) -> Edges:
-    """Edges stored for all steps. A hub has more than ``hub_edges`` out-edges and more than one in ``max_hubs`` of all, so
-    there are fewer than ``max_hubs`` hubs however large the graph, and no bucket holds a node of more edges than that."""
+def prepare_edges(edges: DataFrame, state: DataFrame, max_hubs: int = MAX_HUBS, hub_edges: int = HUB_EDGES) -> Edges:
+    """Edges stored for all steps over ``state``. A hub has more than ``hub_edges`` out-edges and more than one in
+    ``max_hubs`` of all, so there are fewer than ``max_hubs`` hubs however large the graph, and no bucket holds a node of more
+    edges than that."""
     spark = edges.sparkSession
-    edges = edges.select("src", "dst").persist()
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    least = F.greatest(F.lit(hub_edges), degree.select(F.sum("n") / F.lit(max_hubs)).scalar())
-    hubs = degree.where(F.col("n") > least).select(F.col("src").alias("id")).checkpoint()
+    edges = edges.select("src", "dst")
+    least = F.greatest(F.lit(hub_edges), state.select(F.sum("out_degree") / F.lit(max_hubs)).scalar())
+    hubs = state.where(F.col("out_degree") > least).select("id").checkpoint()
+    if hubs.isEmpty():
+        table, plain = _bucketed(_dealt(edges, "src"), "src", scratch_path(spark, "edges"))
+        return Edges(plain, table)
+    edges = edges.persist()
     few = F.broadcast(hubs)  # fewer than max_hubs rows
     table, plain = _bucketed(_dealt(edges.join(few, F.col("src") == F.col("id"), "left_anti"), "src"), "src", scratch_path(spark, "edges"))
     path = scratch_path(spark, "hub-edges")
     _dealt(edges.join(few, F.col("src") == F.col("id"), "left_semi"), "dst").write.parquet(path)
     edges.unpersist()
-    return Edges(plain, spark.read.parquet(path), hubs, table)
+    return Edges(plain, table, spark.read.parquet(path), hubs)
 
 
 def place_state(state: DataFrame, path: str | None = None) -> tuple[str, DataFrame]:
@@ -169,7 +173,7 @@ def ppr_step(state: DataFrame, edges: DataFrame | Edges, sources: list[str], alp
     shares = state.where(F.col("out_degree") > 0).select(F.col("id").alias("from_id"), (F.col("rank") / F.col("out_degree")).alias("share"))
     plain = edges if isinstance(edges, DataFrame) else edges.plain
     messages = plain.join(shares, F.col("src") == F.col("from_id")).select("dst", "share")
-    if isinstance(edges, Edges):
+    if isinstance(edges, Edges) and edges.hubs is not None:
         few = F.broadcast(shares.join(F.broadcast(edges.hubs), F.col("from_id") == F.col("id")).drop("id"))  # a row for each hub
         messages = messages.unionByName(edges.of_hubs.join(few, F.col("src") == F.col("from_id")).select("dst", "share"))
     received = messages.groupBy("dst").agg(F.sum("share").alias("received"), F.count(F.lit(1)).alias("_messages"))
@@ -197,8 +201,8 @@ def ppr_run(state: DataFrame, edges: DataFrame, sources: list[str], steps: int,
     ``messages`` (sent along edges), ``received`` (those that reached a node) and
     ``missing`` (those to a node without structure)."""
     spark = state.sparkSession
-    e = prepare_edges(edges, max_hubs, hub_edges)
     name, cur = place_state(state)
+    e = prepare_edges(edges, cur, max_hubs, hub_edges)
     path = None
     for i in range(start + 1, start + steps + 1):
         sent = got = None

@@ -36,15 +36,18 @@ def with_block(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     return tf.withColumn("block", F.expr(f"(doc_id - pmod(doc_id, {block_docs}L)) div {block_docs}L"))
 
 
+def posting_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(term, block, n, postings ARRAY<STRUCT<doc_id, tf>> by doc_id)."""
+    return (with_block(tf, block_docs).groupBy("term", "block")
+            .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
+
+
 def index_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(term, block, df, n, postings ARRAY<STRUCT<doc_id, tf>> by doc_id)."""
-    blocks = (with_block(tf, block_docs).groupBy("term", "block")
-              .agg(F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
-                   F.count(F.lit(1)).alias("n")))
     # df is a partial aggregation of its own, joined back: a window by term would bring all postings
     # of a common term into one task.
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return blocks.join(df, "term").select("term", "block", "df", "n", "postings")
+    return posting_blocks(tf, block_docs).join(df, "term").select("term", "block", "df", "n", "postings")
 
 
 def postings_text(postings: Column) -> Column:
@@ -54,31 +57,36 @@ def postings_text(postings: Column) -> Column:
 
 
 def block_bases(blocks: DataFrame, super_blocks: int = SUPER_BLOCKS) -> DataFrame:
-    """WF4: (term, block, base): the last document of the term before each block, 0 before its first.
+    """WF4/A13: (term, block, base, df) of every term of two blocks or more: the last document of the term before the block
+    (0 before its first), and the term's document frequency. In a term of one block they are 0 and ``n``.
 
     Two levels of arrays: the last documents of the blocks of a super-block (``super_blocks`` at most), and those of a
-    term's super-blocks. ``blocks`` needs term, block and postings."""
-    last = blocks.select("term", "block", F.element_at("postings", -1)["doc_id"].alias("last"))
+    term's super-blocks. ``blocks`` needs term, block, n and postings."""
+    last = blocks.select("term", "block", "n", F.element_at("postings", -1)["doc_id"].alias("last"))
     lower = (last.withColumn("upper", F.expr(f"(block - pmod(block, {super_blocks}L)) div {super_blocks}L"))
              .groupBy("term", "upper")
-             .agg(F.array_sort(F.collect_list(F.struct("block", "last"))).alias("entries"), F.max("last").alias("last")))
-    tops = lower.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("upper", "last"))).alias("tops"))
-    before = tops.select("term", F.inline(F.expr("transform(tops, (e, i) -> struct(e.upper, coalesce(get(tops, i - 1).last, 0L) AS before))")))
+             .agg(F.array_sort(F.collect_list(F.struct("block", "last"))).alias("entries"), F.max("last").alias("last"),
+                  F.sum("n").alias("n"), F.count(F.lit(1)).alias("held")))
+    tops = (lower.groupBy("term")
+            .agg(F.array_sort(F.collect_list(F.struct("upper", "last"))).alias("tops"), F.sum("n").alias("df"), F.sum("held").alias("held"))
+            .where(F.col("held") > 1))
+    before = tops.select("term", "df", F.inline(F.expr("transform(tops, (e, i) -> struct(e.upper, coalesce(get(tops, i - 1).last, 0L) AS before))")))
     bases = "transform(entries, (e, i) -> struct(e.block, coalesce(get(entries, i - 1).last, before) AS base))"
     return (lower.select("term", "upper", "entries").join(before, ["term", "upper"])
-            .select("term", F.inline(F.expr(bases))))
+            .select("term", "df", F.inline(F.expr(bases))))
 
 
 def encode_postings(blocks: DataFrame, super_blocks: int = SUPER_BLOCKS) -> DataFrame:
-    """T17 encode: (term, block, df, n, base, skips, gaps, tfs) from ``index_blocks``.
+    """T17 encode: (term, block, df, n, base, skips, gaps, tfs) from ``posting_blocks``.
 
     ``gaps`` are distances to the term's previous document (the first one keeps its id), ``skips`` the last document of
     each full run of ``RUN`` postings, ``tfs`` the frequencies. ``blocks`` is read twice, by the directory and by the
     codes: pass a checkpointed or stored table."""
-    ids = F.transform("postings", lambda p: p["doc_id"])
-    rows = blocks.join(block_bases(blocks, super_blocks), ["term", "block"]).withColumn("ids", ids)
+    rows = (blocks.select("term", "block", "n", "postings").join(block_bases(blocks, super_blocks), ["term", "block"], "left")
+            .withColumn("ids", F.transform("postings", lambda p: p["doc_id"]))
+            .withColumn("base", F.coalesce("base", F.lit(0).cast("long"))))
     return rows.select(
-        "term", "block", "df", "n", "base",
+        "term", "block", F.coalesce("df", "n").alias("df"), "n", "base",
         F.expr(f"if(n >= {RUN}, transform(sequence({RUN}, cast(n AS int), {RUN}), k -> element_at(ids, k)), cast(array() AS array<bigint>))").alias("skips"),
         F.expr("transform(ids, (d, i) -> d - coalesce(get(ids, i - 1), base))").alias("gaps"),
         F.transform("postings", lambda p: p["tf"]).alias("tfs"))

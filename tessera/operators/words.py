@@ -170,7 +170,8 @@ def merge_counts(a: DataFrame, b: DataFrame, key: str = "x", partner: str = "y",
     """The stripes of two tables of counts (one row per key and partner in each), merged -> (key, piece, stripe).
 
     Both sides' partners of a key are counted first and agree on its number of pieces, so a merged piece holds about
-    ``max_entries`` partners also where one side has few of a key and the other millions."""
+    ``max_entries`` partners also where one side has few of a key and the other millions. Both tables are read twice:
+    pass stored or checkpointed ones."""
     of = piece_counts([a, b], key, max_entries)
     sa, sb = (to_stripes(d, key, partner, [value], pieces_of=of) for d in (a, b))
     return merge_stripes(sa, sb, key)

@@ -49,7 +49,7 @@ def inverted_index(spark, sf):
 
 
 def _coded(spark, sf):
-    return I.encode_postings(I.index_blocks(_tf(spark, sf), BLOCK).checkpoint())
+    return I.encode_postings(I.posting_blocks(_tf(spark, sf), BLOCK).checkpoint())
 
 
 @register("postings_gaps", GAPS_SQL)

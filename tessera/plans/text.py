@@ -78,7 +78,7 @@ SELECT x, y, n FROM bc
 """)
 def stripe_merge(spark, sf):
     toks = W.line_tokens(_docs(spark, sf))
-    even, odd = (W.bigram_counts(toks.where(F.col("doc_id") % 2 == r)) for r in (0, 1))
+    even, odd = (W.bigram_counts(toks.where(F.col("doc_id") % 2 == r)).checkpoint() for r in (0, 1))
     return W.from_stripes(W.merge_counts(even, odd), "x", "y", ["n"])
 
 

@@ -155,12 +155,15 @@ def test_hub_of_a_third_of_all_edges(spark):
         got = {r.id: r.rank for r in G.ppr_run(state, e, ["v1"], 3, hub_edges=hub_edges, metrics=metrics).collect()}
         assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
         assert all((m["messages"], m["missing"]) == (1800, 0) for m in metrics)
-    made = G.prepare_edges(e, hub_edges=50)
+    made = G.prepare_edges(e, state, hub_edges=50)
     assert [r.id for r in made.hubs.collect()] == ["h"]
     assert made.of_hubs.count() == 600 and made.plain.count() == 1200
     sizes = [r.n for r in made.of_hubs.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(sizes) < 600 / 3  # not in one partition
     made.release()
+    none = G.prepare_edges(e, state)
+    assert none.hubs is None and none.plain.count() == 1800
+    none.release()
 
 
 def test_the_state_is_not_shuffled_in_a_step(spark):
@@ -169,8 +172,8 @@ def test_the_state_is_not_shuffled_in_a_step(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        made = G.prepare_edges(e, hub_edges=50)
         name, state = G.place_state(G.build_state(n, e, ["v1"]))
+        made = G.prepare_edges(e, state, hub_edges=50)
         for _ in range(2):
             nxt = G.ppr_step(state, made, ["v1"])
             plan = nxt._jdf.queryExecution().executedPlan().toString()

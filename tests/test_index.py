@@ -20,7 +20,7 @@ ROWS = [("a", d, 1 + d % 3) for d in (0, 3, 4, 9, 17, 18, 40, 41, 100)] + \
 
 
 def _coded(tf, block_docs, super_blocks=I.SUPER_BLOCKS):
-    return I.encode_postings(I.index_blocks(tf, block_docs), super_blocks)
+    return I.encode_postings(I.posting_blocks(tf, block_docs), super_blocks)
 
 
 def test_gaps_exact_across_blocks(spark):
@@ -52,6 +52,7 @@ def test_sparse_ids_and_full_blocks(spark):
     assert [g for _, g, _ in far] == [0, 7, 5_000_000_116, 1, 2**60 - 5_000_000_124]
     assert [q for _, _, q in far] == [1, 2, 1, 2, 1]
     assert all(g == (100 if d == 100 else 1) for d, g, _ in got["dense"])
+    assert {(r.term, r.df) for r in coded.collect()} == {("far", 5), ("dense", 2200)}
     skips = {r.block: r.skips for r in coded.where("term = 'dense'").collect()}
     assert skips[1][:2] == [1024 + 31, 1024 + 63] and len(skips[1]) == 32
 
