@@ -39,8 +39,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def place_weights(place: np.ndarray) -> np.ndarray:
     """The weight of each byte place in a hashed run of bytes."""
     low = _PLACE[place & 0xFFFF]
-    far = np.flatnonzero(place > 0xFFFF)
-    if len(far):
+    if place.size and place.max() > 0xFFFF:
+        far = np.flatnonzero(place > 0xFFFF)
         low[far] *= mix((place[far] >> 16).astype(np.uint64)) | np.uint64(1)
     return low
 
