@@ -45,6 +45,11 @@ def _model(spark, sf):
     return L.train_fullbatch(L.occurrences(_inst(spark, sf)), EPOCHS)
 
 
+def _stored_inst(spark, sf):
+    """Instances that are trained on, scored and joined: tokenised once."""
+    return _inst(spark, sf).checkpoint()
+
+
 @register("instances", f"WITH {OCC_CTE} SELECT doc_id, y, pos, f FROM feat")
 def instances(spark, sf):
     return (_inst(spark, sf).select("doc_id", "y", F.posexplode_outer("features").alias("pos", "f"))
@@ -112,8 +117,9 @@ FROM docs d LEFT JOIN sc ON sc.doc_id = d.doc_id"""
 
 @register("score_documents", SCORE_SQL)
 def score_documents(spark, sf):
-    inst = _inst(spark, sf)
-    return L.score_documents(inst, _model(spark, sf)).withColumn("score", F.round("score", DIGITS))
+    inst = _stored_inst(spark, sf)
+    model = L.train_fullbatch(L.occurrences(inst), EPOCHS)
+    return L.score_documents(inst, model).withColumn("score", F.round("score", DIGITS))
 
 
 @register("model_text_read", f"WITH {_train_sql(False)} SELECT f, round(w, {DIGITS}) AS w FROM w2")
@@ -147,7 +153,7 @@ def ensemble_vote(spark, sf):
 
 def _ensemble(spark, sf, method):
     # Three models trained in one job, one per document third (doc_id % 3).
-    inst = _inst(spark, sf)
+    inst = _stored_inst(spark, sf)
     occ = L.occurrences(inst.withColumn("model_key", F.col("doc_id") % 3), "model_key")
     models = L.train_fullbatch(occ, EPOCHS)
     return L.ensemble(inst, models, method, 3)
