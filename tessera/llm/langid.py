@@ -10,9 +10,7 @@ best totals are nearly equal is *rejected*.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -21,20 +19,16 @@ from pyspark.sql import functions as F
 from .blocks import give_back, privately
 
 PIECE = 2000
-FINE = 400  # texts up to this many bytes are measured at more levels, to split ties
-LEVELS = (5, 6, 9, 12)
-
-
-@cache
-def _not_letters() -> re.Pattern:
-    """Runs without a letter. Some characters that Python counts as those of words are numerals (½ ² ① Ⅷ), not letters."""
-    numerals = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(rf"[\W\d_{re.escape(numerals)}]+")
+_NOT_WORD = re.compile(r"[\W\d_]+")
 
 
 def fold(text: str | None) -> str:
     """Lower-case letters, other runs as one space."""
-    return _not_letters().sub(" ", text.lower()).strip() if text else ""
+    out = _NOT_WORD.sub(" ", text.lower()).strip() if text else ""
+    if out and not out.replace(" ", "").isalpha():
+        # Python counts some numerals (½ ² ① Ⅷ) as characters of words; they are no letters.
+        out = " ".join("".join([c if c.isalpha() else " " for c in out]).split())
+    return out
 
 
 def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_bytes: int = 8000,
@@ -67,7 +61,7 @@ def language_dictionaries(train: DataFrame, docs_per_language: int = 600, dict_b
     return {k: (" ".join(w for _, w in sorted(v)) + " ").encode() for k, v in sorted(words.items()) if v}
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.002, level: int = 6,
+def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.002, level: int = 5,
             text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, lang_pred, score (0 to 1), rejected.
 
@@ -83,18 +77,12 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.0
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard as z
 
-        def coders(lv: int) -> list:
-            out = []
-            for n in names:
-                raw = dictionaries[n]
-                p = z.ZstdCompressionParameters.from_level(
-                    lv, source_size=PIECE, dict_size=len(raw), write_content_size=0, write_dict_id=0)
-                out.append(z.ZstdCompressor(compression_params=p, dict_data=z.ZstdCompressionDict(
-                    raw, dict_type=z.DICT_TYPE_RAWCONTENT)))
-            return out
-
-        main = coders(level) if names else []
-        fine = [c for lv in LEVELS for c in coders(lv)] if names else []
+        def coder(raw: bytes):
+            p = z.ZstdCompressionParameters.from_level(
+                level, source_size=PIECE, dict_size=len(raw), write_content_size=0, write_dict_id=0)
+            return z.ZstdCompressor(compression_params=p, dict_data=z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT))
+
+        coders = [coder(dictionaries[n]) for n in names]
         for batch in batches:
             preds, scores, rejects = [], [], []
             for value in batch.column(batch.schema.get_field_index(text)):
@@ -102,12 +90,8 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.0
                 if not data or not names:
                     preds.append("und"), scores.append(0.0), rejects.append(True)
                     continue
-                if len(data) <= FINE:
-                    each = [len(c.compress(data)) for c in fine]
-                    total = [sum(each[i::len(names)]) / len(LEVELS) for i in range(len(names))]
-                else:
-                    pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
-                    total = [sum(len(c.compress(p)) for p in pieces) for c in main]
+                pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
+                total = [sum(len(c.compress(p)) for p in pieces) for c in coders]
                 best = min(range(len(names)), key=total.__getitem__)
                 low = total[best]
                 scale = max(2.0, 0.01 * low)
