@@ -6,7 +6,7 @@ from tessera.operators import linear as L
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import tokens_sql
 from tessera.session import scratch_path
-from tessera.sources.sinks import write_instances_text, write_model_text
+from tessera.sources.sinks import write_instances_text, write_model, write_model_text
 from tessera.sources.tables import read_instances_text, read_model_text, read_table
 
 DIGITS = 9
@@ -129,6 +129,15 @@ def model_text_read(spark, sf):
     return read_model_text(spark, path).select("f", F.round("w", DIGITS).alias("w"))
 
 
+@register("model_partitions", f"WITH {_train_sql(True)} SELECT f, round(w, {DIGITS}) AS w FROM w2 WHERE model_id = 1")
+def model_partitions(spark, sf):
+    # Three models stored by model, of which one is read.
+    occ = L.occurrences(_inst(spark, sf).withColumn("model_key", F.col("doc_id") % 3), "model_key")
+    path = scratch_path(spark, "models")
+    write_model(L.train_fullbatch(occ, EPOCHS), path)
+    return spark.read.parquet(path).where("model_id = 1").select("f", F.round("w", DIGITS).alias("w"))
+
+
 ENSEMBLE_CTE = f"""{_train_sql(True)},
 sc AS (SELECT w2.model_id, o.doc_id, sum(o.cnt * w2.w) AS s FROM occ o JOIN w2 ON w2.f = o.f GROUP BY ALL),
 docs AS (SELECT DISTINCT doc_id, y FROM lab),

@@ -7,7 +7,8 @@ from tessera.operators import words as W
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import DOC_TOKENS_CTE, LINE_TOKENS_CTE
 from tessera.session import scratch_path
-from tessera.sources.tables import corpus_lines, read_table, read_text_corpus
+from tessera.sources.sinks import write_tsv
+from tessera.sources.tables import corpus_lines, read_table, read_text_corpus, read_tsv
 
 ANCHOR = "the"  # stand-in anchor word
 
@@ -72,6 +73,18 @@ def bigram_stripes(spark, sf):
             .withColumn("freq", F.round("freq", 6)))
 
 
+@register("stripes_text", f"""
+WITH {BIGRAMS_CTE}
+SELECT x, y, n, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY x), 6) AS freq FROM bc
+""")
+def stripes_text(spark, sf):
+    # Stripes as text of tuples, the map as JSON, then read back.
+    stripes, path = W.bigram_stripes(W.line_tokens(_docs(spark, sf))), scratch_path(spark, "stripes-text")
+    write_tsv(stripes, path)
+    return (W.from_stripes(read_tsv(spark, path, stripes.schema), "x", "y", ["n", "freq"])
+            .withColumn("freq", F.round("freq", 6)))
+
+
 @register("stripe_merge", f"""
 WITH {BIGRAMS_CTE}
 SELECT x, y, n FROM bc

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 def write_tsv(df: DataFrame, path: str) -> None:
     """SNK1/T15: tab-separated text of tuples, one line per row; maps, arrays and
     structs go out as JSON, nulls as empty fields. In strings, a backslash, tab or line break is
-    written as ``\\\\``, ``\\t``, ``\\n`` or ``\\r``, so a value never ends its field or line."""
+    written as ``\\b``, ``\\t``, ``\\n`` or ``\\r``, so a value never ends its field or line
+    (``tables.read_tsv`` reads it back)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
@@ -21,7 +22,7 @@ def write_tsv(df: DataFrame, path: str) -> None:
         else:
             c = c.cast("string")
             if f.dataType.typeName() == "string":
-                for plain, written in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+                for plain, written in (("\\", "\\b"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
                     c = F.replace(c, F.lit(plain), F.lit(written))
         cols.append(F.coalesce(c, F.lit("")))
     df.select(F.concat_ws("\t", *cols).alias("value")).write.mode("overwrite").text(path)

@@ -149,6 +149,23 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return lines.select(p.alias("p")).where(ok).select(*[value(i, f) for i, f in enumerate(schema.fields)])
 
 
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Text of tuples as ``sinks.write_tsv`` writes it, by position. An empty field is null (an empty string, too); a
+    line of another number of fields is dropped; a field that does not cast is null."""
+    p = F.split(F.col("value"), "\t", -1)
+
+    def value(i, f):
+        c = F.when(F.col("p")[i] != "", F.col("p")[i])
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(c, f.dataType).alias(f.name)
+        if isinstance(f.dataType, T.StringType):
+            for plain, written in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\\", "\\b")):
+                c = F.replace(c, F.lit(written), F.lit(plain))
+        return c.try_cast(f.dataType).alias(f.name)
+    return (spark.read.text(path).select(p.alias("p")).where(F.size("p") == len(schema.fields))
+            .select(*[value(i, f) for i, f in enumerate(schema.fields)]))
+
+
 # ---------------------------------------------------------------- adjacency text (SRC5)
 
 def read_adjacency_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tessera.sources.sinks import write_tsv
+from tessera.sources.tables import read_tsv
 from tessera.streaming import windows as S
 
 
@@ -17,10 +18,23 @@ def test_tsv_with_map_and_overwrite(spark, tmp_dir):
 
 
 def test_tsv_values_never_end_their_field_or_line(spark, tmp_dir):
-    df = spark.createDataFrame([("a\tb", "c\nd\re", 1), ("back\\slash", None, 2)], "x string, y string, n int")
+    rows = [("a\tb", "c\nd\re", 1), ("back\\slash", None, 2), ("\\t \\b\\\\", "é", None)]
+    df = spark.createDataFrame(rows, "x string, y string, n int")
     write_tsv(df, tmp_dir + "/o")
     lines = sorted(r.value for r in spark.read.text(tmp_dir + "/o").collect())
-    assert lines == ["a\\tb\tc\\nd\\re\t1", "back\\\\slash\t\t2"]
+    assert lines == sorted(["a\\tb\tc\\nd\\re\t1", "back\\bslash\t\t2", "\\bt \\bb\\b\\b\té\t"])
+    assert sorted(map(tuple, read_tsv(spark, tmp_dir + "/o", df.schema).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_tsv_of_nested_values_comes_back(spark, tmp_dir):
+    rows = [("a", {"k\tz": (1, 0.5)}, ["p", "q\n"]), ("b", {}, None), (None, {"\\": (2, 1e-9)}, [])]
+    df = spark.createDataFrame(rows, "x string, m map<string,struct<n:bigint,f:double>>, l array<string>")
+    write_tsv(df, tmp_dir + "/o")
+    with open(tmp_dir + "/short.txt", "w") as fh:
+        fh.write("too\tfew\n")
+    got = [(r.x, {k: tuple(v) for k, v in r.m.items()}, r.l) for r in read_tsv(spark, tmp_dir + "/o", df.schema).collect()]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+    assert read_tsv(spark, tmp_dir + "/short.txt", df.schema).count() == 0
 
 
 def test_live_trigger_runs_and_stops(spark, tmp_dir):
