@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm import suffixes as S
+from tessera.llm.queries import op13_suffix_sort
 
 SHARED = "a passage of more than fifty bytes that several of the documents hold, é and ß too. "
 
@@ -92,3 +93,13 @@ def test_report_and_empty_table(spark):
     assert S.suffix_report(docs.where("1 = 0")).count() == 0
     nulls = spark.createDataFrame([(1, None), (None, None)], "doc_id long, text string")
     assert sorted(r["n_removed"] for r in S.suffix_report(nulls).collect()) == [0, 0]
+
+
+def test_a_null_id_has_no_smaller_one(spark, tmp_path):
+    """The query by its contract: no doc_id is smaller than a null one, so its row keeps what others hold."""
+    rows = [*ROWS, (None, prose(60, 0)), (None, "é" * 60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute([(i, t) for i, t in rows if i is not None])
+    want += [(None, len(t.encode()), 0, 0, hashlib.sha256(t.encode()).hexdigest()) for i, t in rows if i is None]
+    got = [tuple(r) for r in op13_suffix_sort(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
