@@ -40,11 +40,15 @@ def word_count(tokens: DataFrame) -> DataFrame:
 
 
 def line_word_count(tokens: DataFrame) -> DataFrame:
-    """A1/A2 by line: occurrences of each word and the lines that hold it, from (doc_id, line_no, tokens)
-    -> (word, n, n_lines)."""
-    in_line = (tokens.select("doc_id", "line_no", F.explode_outer("tokens").alias("word")).where(nonempty("word"))
-               .groupBy("word", "doc_id", "line_no").agg(F.count(F.lit(1)).alias("k")))
-    return in_line.groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_lines"))
+    """A1/A2 by line: occurrences of each word and the lines that hold it, from (doc_id, line_no, tokens), one row a line
+    -> (word, n, n_lines).
+
+    A line's tokens are sorted inside its row, where a word's first place counts the line, so nothing is shuffled
+    but each task's counts by word."""
+    ordered = tokens.select(F.sort_array("tokens").alias("ordered"))
+    marked = F.expr("transform(ordered, (w, i) -> struct(w AS word, if(w <=> get(ordered, i - 1), 0L, 1L) AS line))")
+    return (ordered.select(F.inline_outer(marked)).where(nonempty("word"))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("line").alias("n_lines")))
 
 
 def follower_count(tokens: DataFrame, anchor: str = "the", min_count: int = 2) -> DataFrame:
