@@ -39,10 +39,7 @@ def bigram_structs(tokens: Column) -> Column:
     Equal to ``lead`` over token position, computed inside the row: no shuffle.
     """
     n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    return F.transform(
-        F.slice(tokens, 1, n),
-        lambda t, i: F.struct(t.alias("x"), F.element_at(tokens, i + 2).alias("y")),
-    )
+    return F.arrays_zip(F.slice(tokens, 1, n).alias("x"), F.slice(tokens, 2, n).alias("y"))
 
 
 def first_distinct(tokens: Column, limit: int = 40) -> Column:

@@ -127,13 +127,13 @@ def to_stripes(long: DataFrame, key: str, partner: str, value_cols: list[str],
         n_pieces = F.col("_pieces")
     return (long.withColumn("piece", F.pmod(F.xxhash64(F.col(partner)), n_pieces).cast("int"))
             .groupBy(key, "piece")
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(partner), val))))
+            .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(partner), val))))
                  .alias("stripe")))
 
 
 def from_stripes(stripes: DataFrame, key: str, partner: str, value_names: list[str]) -> DataFrame:
     """Explode stripes back to long rows (for output and checks)."""
-    e = stripes.select(key, F.explode("stripe").alias(partner, "_v"))
+    e = stripes.select(key, F.explode_outer("stripe").alias(partner, "_v")).where(nonempty(partner))
     if len(value_names) == 1:
         return e.select(key, partner, F.col("_v").alias(value_names[0]))
     return e.select(key, partner, *[F.col("_v")[v].alias(v) for v in value_names])

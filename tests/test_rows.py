@@ -1,8 +1,15 @@
 """What counts, stripes and postings cost by plan: exchanges, and expensive columns evaluated once."""
 
+from pyspark.sql import functions as F
+
+from tessera.functions.text import bigram_structs
 from tessera.operators import words as W
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
@@ -13,3 +20,21 @@ def test_lines_are_counted_with_one_exchange(spark):
     got = W.line_word_count(lines)
     assert sorted(map(tuple, got.collect())) == [("a", 3, 3), ("b", 3, 1), ("c", 2, 1)]
     assert exchanges(W.line_word_count(lines)) == 1
+
+
+def test_stripes_are_evaluated_once(spark):
+    """No filter on a stripe's size, which would build (or parse) the map a second time."""
+    toks = spark.createDataFrame([(1, ["a", "b", "a", "b", "c"]), (2, ["a", "c"]), (3, ["z"]), (4, None)], "doc_id long, tokens array<string>")
+    long = W.from_stripes(W.bigram_stripes(toks), "x", "y", ["n", "freq"])
+    assert sorted(map(tuple, long.collect())) == [("a", "b", 2, 2 / 3), ("a", "c", 1, 1 / 3), ("b", "a", 1, 0.5), ("b", "c", 1, 0.5)]
+    stored = spark.createDataFrame([("a", '{"b":1}'), ("c", "{}"), ("d", None)], "x string, j string")
+    parsed = W.from_stripes(stored.select("x", F.from_json("j", "map<string,bigint>").alias("stripe")), "x", "y", ["n"])
+    assert plan(parsed).count("from_json") == 1
+    assert [tuple(r) for r in parsed.collect()] == [("a", "b", 1)]
+
+
+def test_bigrams_have_no_lambda(spark):
+    toks = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],), (None,)], "tokens array<string>")
+    pairs = toks.select(bigram_structs(F.col("tokens")).alias("p"))
+    assert [r.p and [tuple(q) for q in r.p] for r in pairs.collect()] == [[("a", "b"), ("b", "c")], [], [], None]
+    assert "lambda" not in plan(pairs)
