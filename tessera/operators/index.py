@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import nonempty, snippet
+from tessera.functions.text import nonempty, snippet, tokenize
 from tessera.session import scratch_path
 
 BLOCK_DOCS = 1024  # document ids per posting block
@@ -31,23 +31,41 @@ def term_frequency(doc_tokens: DataFrame) -> DataFrame:
             .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def blocked_frequency(documents: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """A12/SRC2: (block, term, doc_id, tf) of documents dealt by their block of ids.
+
+    The texts of a block meet in one task, so its counts and then its postings need no further exchange: texts are
+    shuffled once, in place of a row for each term of a document twice. Blocks hold ``block_docs`` ids; rows of one id (a
+    null one, too) are one task's."""
+    docs = with_block(documents.select("doc_id", "text"), block_docs).repartition(F.col("block"))
+    return (docs.select("block", "doc_id", tokenize(F.col("text")).alias("tokens"))
+            .select("block", "doc_id", F.explode_outer("tokens").alias("term")).where(nonempty("term"))
+            .groupBy("block", "term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
+
+
 def with_block(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     # Floor of the quotient in whole numbers (a double would lose large ids).
     return tf.withColumn("block", F.expr(f"(doc_id - pmod(doc_id, {block_docs}L)) div {block_docs}L"))
 
 
 def posting_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(term, block, n, postings ARRAY<STRUCT<doc_id, tf>> by doc_id)."""
-    return (with_block(tf, block_docs).groupBy("term", "block")
-            .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
+    """(term, block, n, postings ARRAY<STRUCT<doc_id, tf>> by doc_id); ``tf`` may have its ``block``."""
+    rows = tf if "block" in tf.columns else with_block(tf, block_docs)
+    return (rows.groupBy("term", "block")
+            .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 
 
 def index_blocks(tf: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(term, block, df, n, postings ARRAY<STRUCT<doc_id, tf>> by doc_id)."""
+    return with_df(posting_blocks(tf, block_docs))
+
+
+def with_df(blocks: DataFrame) -> DataFrame:
+    """Posting blocks with their term's document frequency. ``blocks`` is read twice: pass a checkpointed or stored table."""
     # df is a partial aggregation of its own, joined back: a window by term would bring all postings
     # of a common term into one task.
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return posting_blocks(tf, block_docs).join(df, "term").select("term", "block", "df", "n", "postings")
+    df = blocks.groupBy("term").agg(F.sum("n").alias("df"))
+    return blocks.join(df, "term").select("term", "block", "df", "n", "postings")
 
 
 def postings_text(postings: Column) -> Column:
@@ -65,10 +83,10 @@ def block_bases(blocks: DataFrame, super_blocks: int = SUPER_BLOCKS) -> DataFram
     last = blocks.select("term", "block", "n", F.element_at("postings", -1)["doc_id"].alias("last"))
     lower = (last.withColumn("upper", F.expr(f"(block - pmod(block, {super_blocks}L)) div {super_blocks}L"))
              .groupBy("term", "upper")
-             .agg(F.array_sort(F.collect_list(F.struct("block", "last"))).alias("entries"), F.max("last").alias("last"),
+             .agg(F.sort_array(F.collect_list(F.struct("block", "last"))).alias("entries"), F.max("last").alias("last"),
                   F.sum("n").alias("n"), F.count(F.lit(1)).alias("held")))
     tops = (lower.groupBy("term")
-            .agg(F.array_sort(F.collect_list(F.struct("upper", "last"))).alias("tops"), F.sum("n").alias("df"), F.sum("held").alias("held"))
+            .agg(F.sort_array(F.collect_list(F.struct("upper", "last"))).alias("tops"), F.sum("n").alias("df"), F.sum("held").alias("held"))
             .where(F.col("held") > 1))
     before = tops.select("term", "df", F.inline(F.expr("transform(tops, (e, i) -> struct(e.upper, coalesce(get(tops, i - 1).last, 0L) AS before))")))
     bases = "transform(entries, (e, i) -> struct(e.block, coalesce(get(entries, i - 1).last, before) AS base))"

@@ -33,6 +33,10 @@ def _tf(spark, sf):
     return I.term_frequency(W.doc_tokens(read_table(spark, sf, "documents")))
 
 
+def _blocks(spark, sf):
+    return I.posting_blocks(I.blocked_frequency(read_table(spark, sf, "documents"), BLOCK)).checkpoint()
+
+
 @register("term_frequency", f"WITH {TF_CTE} SELECT term, doc_id, tf FROM tf")
 def term_frequency(spark, sf):
     return _tf(spark, sf)
@@ -44,12 +48,12 @@ SELECT term, CAST(floor(doc_id / {BLOCK}) AS BIGINT) AS block,
        string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(tf AS VARCHAR), ' ' ORDER BY doc_id) AS postings
 FROM tf GROUP BY term, floor(doc_id / {BLOCK})""")
 def inverted_index(spark, sf):
-    ix = I.index_blocks(_tf(spark, sf), BLOCK)
+    ix = I.with_df(_blocks(spark, sf))
     return ix.select("term", "block", "df", "n", I.postings_text(ix["postings"]).alias("postings"))
 
 
 def _coded(spark, sf):
-    return I.encode_postings(I.posting_blocks(_tf(spark, sf), BLOCK).checkpoint())
+    return I.encode_postings(_blocks(spark, sf))
 
 
 @register("postings_gaps", GAPS_SQL)

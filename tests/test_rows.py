@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bigram_structs
+from tessera.operators import index as I
 from tessera.operators import words as W
 
 
@@ -38,3 +39,16 @@ def test_bigrams_have_no_lambda(spark):
     pairs = toks.select(bigram_structs(F.col("tokens")).alias("p"))
     assert [r.p and [tuple(q) for q in r.p] for r in pairs.collect()] == [[("a", "b"), ("b", "c")], [], [], None]
     assert "lambda" not in plan(pairs)
+
+
+def test_postings_move_texts_only(spark):
+    """Documents are dealt by block once; counts and postings follow without an exchange, also for repeated, null and negative ids."""
+    rows = [(i, f"the w{i % 7} w{i % 5} the") for i in range(-20, 60)] + [(7, "the the x"), (7, "x"), (None, "the"), (None, "y"), (61, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = I.posting_blocks(I.blocked_frequency(docs, 8))
+    assert exchanges(dealt) == 1
+    plain = I.posting_blocks(I.term_frequency(W.doc_tokens(docs)), 8)
+    form = lambda df: sorted(((r.term, r.block, r.n, [tuple(p) for p in r.postings]) for r in df.collect()), key=str)
+    assert form(dealt) == form(plain)
+    df = {(r.term, r.df) for r in I.with_df(dealt).collect()}
+    assert ("the", 81) in df and len(df) == len({t for t, _ in df})
