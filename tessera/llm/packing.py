@@ -10,7 +10,9 @@ document.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -71,25 +73,34 @@ class Encoder:
                 new.append(r)
             else:
                 young[r] = got
-        parts, need = [], {}
+        whole, old, folded, other = [], self.old, {}, {}  # runs of two parts; parts to be folded, parts as they are
         for r in new:
             m = self.plain(r)
-            own = (m[1].lower(), m[2]) if m and m[2] else (m[1].lower(),) if m else (r,)
-            parts.append(own)
-            for x in own:
-                if x not in young and x not in need:
-                    got = self.old.get(x)
-                    if got is None:
-                        need[x] = m is not None and x is own[0]
-                    else:
-                        young[x] = got
-        folded = [x for x in need if need[x]]
-        other = [x for x in need if not need[x]]
+            if m is None:
+                other[r] = None
+                continue
+            word, marks = m.groups()
+            word = word.lower()
+            if word not in young:
+                got = old.get(word)
+                if got is None:
+                    folded[word] = None
+                else:
+                    young[word] = got
+            if marks and marks not in young:
+                got = old.get(marks)
+                if got is None:
+                    other[marks] = None
+                else:
+                    young[marks] = got
+            if marks or word != r:
+                whole.append((r, word, marks))
         for tok, some in ((self.word, folded), (self.tok, other)):
+            some = list(some)
             for r, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False) if some else []):
-                young[r] = np.array(e.ids, "<u4").tobytes()
-        for r, own in zip(new, parts):
-            young[r] = b"".join([young[x] for x in own])
+                young[r] = _little(e.ids)
+        for r, word, marks in whole:
+            young[r] = young[word] + young[marks] if marks else young[word]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text, with END at the end."""
@@ -98,16 +109,21 @@ class Encoder:
         for i in range(0, len(split), 64):
             group = split[i:i + 64]
             young = self.young
-            missing = list(dict.fromkeys(r for runs in group for r in runs if r not in young))
+            missing = list(set().union(*group).difference(young))
             if missing:
                 self._learn(missing)
                 if self.young is not young:  # a new generation: what the group needs must be in it
                     young = self.young
-                    more = list(dict.fromkeys(r for runs in group for r in runs if r not in young))
+                    more = list(set().union(*group).difference(young))
                     if more:
                         self._learn(more)
             for runs in group:
-                yield b"".join([young[r] for r in runs]) + end
+                yield b"".join(map(young.__getitem__, runs)) + end
+
+
+def _little(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
 
 
 def _runs(text: str) -> list[str]:
