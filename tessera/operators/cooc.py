@@ -2,17 +2,20 @@
 
 A line contributes the distinct words among its first 40 tokens (at most 40*39/2 pairs a line). Pairs are
 generated and counted inside tasks over runs of lines, on arrays of word codes: no self-join, and what is
-shuffled are the counted partners of a word, not rows of pairs.
+shuffled are counted pairs of codes, a byte or two each, not rows of pairs. Lines of each word are counted first.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.pairs import EXCHANGE, merge_pairs, send_pairs
+from tessera.functions import pairs as P
 from tessera.functions.text import first_distinct, nonempty
 from tessera.operators.words import from_stripes, to_stripes
+from tessera.session import scratch_path
 
 WINDOW = 40  # first tokens of a line that take part (fixed by the studied jobs)
 
@@ -28,15 +31,49 @@ def line_frequency(words: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n_lines")))
 
 
-def _counted(words: DataFrame, least: int, both: bool) -> DataFrame:
+def _stored_frequency(words: DataFrame) -> DataFrame:
+    """``line_frequency``, counted once and kept below the shared folder: codes, totals and joins all read it."""
+    path = scratch_path(words.sparkSession, "line-frequency")
+    line_frequency(words).write.parquet(path)
+    return words.sparkSession.read.parquet(path)
+
+
+def _known(lf: DataFrame, least: int) -> P.Known:
+    """Codes for the most frequent words, ``P.WORDS`` at most, and bits for the others in ``least`` lines or more (a pair's count
+    never exceeds either word's); what the driver gets is bounded."""
+    often = (lf.where(F.col("n_lines") >= least).groupBy("n_lines").agg(F.count(F.lit(1)).alias("words"))
+             .orderBy(F.desc("n_lines")).limit(P.WORDS + 1).toArrow())
+    upto = np.cumsum(often["words"].to_numpy())
+    n_lines = often["n_lines"].to_numpy()[upto <= P.WORDS]
+    from_lines = int(n_lines[-1]) if len(n_lines) else None
+    top = lf.where(F.col("n_lines") >= from_lines if len(n_lines) else F.lit(False)).toArrow().sort_by([("n_lines", "descending"), ("word", "ascending")])
+    slots = None
+    if least > 1:
+        slot = F.crc32(F.encode("word", "UTF-8")) % P.SLOTS + 1  # the bitmap functions count from 1
+        rest = lf.where(F.col("n_lines") >= least)
+        if len(n_lines):
+            rest = rest.where(F.col("n_lines") < from_lines)
+        slots = np.zeros(P.SLOTS // 8, np.uint8)
+        size = 4096  # bytes that bitmap_construct_agg makes
+        for r in (rest.groupBy(F.bitmap_bucket_number(slot).alias("block"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()):
+            slots[(r.block - 1) * size:r.block * size] |= np.frombuffer(bytes(r.bits), np.uint8)
+    return P.Known(top["word"].combine_chunks().cast(pa.string()), top["n_lines"].to_numpy(), slots)
+
+
+def _counted(words: DataFrame, lf: DataFrame, least: int, both: bool) -> DataFrame:
     """Lines of each unordered pair -> (x, y, n) for pairs of ``least`` lines or more, with ``both`` in both orientations.
 
-    A task counts the pairs of a run of its lines and sends each word's partners in one row a piece (``functions.pairs``);
-    the rows are dealt and sorted by word and piece, and neighbours are summed as they stream by. So no pair is a row of
-    its own before it is counted, and nothing holds more than a bounded run of lines or rows."""
-    sent = words.select(F.array_compact("words").alias("words")).mapInArrow(send_pairs, EXCHANGE)
+    A task counts the pairs of a run of its lines and sends them in few rows (``functions.pairs``): the pairs of known words
+    by tile, the others by word. The rows are dealt and sorted by word and piece, and neighbours are summed as they stream by.
+    So no pair is a row of its own before it is counted, and nothing holds more than a bounded run of lines or rows."""
+    known = _known(lf, least)
+
+    def send(batches):
+        return P.send_pairs(batches, known)
+    sent = words.select(F.array_compact("words").alias("words")).mapInArrow(send, P.EXCHANGE)
     dealt = sent.repartition(F.col("x"), F.col("piece")).sortWithinPartitions("x", "piece")
-    return dealt.mapInArrow(merge_pairs(least, both), "x string, y string, n long")
+    return dealt.mapInArrow(P.merge_pairs(least, both, known), "x string, y string, n long")
 
 
 def _mirror(df: DataFrame) -> DataFrame:
@@ -53,7 +90,7 @@ def pair_count(words: DataFrame) -> DataFrame:
 
     ``n(x, y) = n(y, x)``, so each unordered pair is counted once and mirrored after
     the aggregation: half the rows shuffled and aggregated."""
-    return _counted(words, 1, True)
+    return _counted(words, _stored_frequency(words), 1, True)
 
 
 def pmi_pairs(words: DataFrame, threshold: int = 1) -> DataFrame:
@@ -63,11 +100,13 @@ def pmi_pairs(words: DataFrame, threshold: int = 1) -> DataFrame:
     PMI is symmetric: it is computed once per unordered pair and mirrored. ``N`` is a
     scalar subquery, not a cross join; the word totals are joined (AQE picks broadcast
     or shuffle from their real size: the vocabulary grows with the corpus, so nothing
-    is forced). Pairs below the threshold end where they are summed.
+    is forced). Pairs below the threshold end where they are summed; words below it are
+    not paired.
     """
     n_lines = words.select(F.count(F.lit(1)).cast("double")).scalar()
-    lf = line_frequency(words)
-    pairs = _counted(words, threshold, False)
+    lf = _stored_frequency(words)
+    pairs = _counted(words, lf, threshold, False)
+    lf = lf.where(F.col("n_lines") >= threshold)
     fx = lf.select(F.col("word").alias("x"), F.col("n_lines").alias("n_x"))
     fy = lf.select(F.col("word").alias("y"), F.col("n_lines").alias("n_y"))
     one = (pairs.join(fx, "x").join(fy, "y")
