@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECES = 4
-PAIRS = 1 << 23  # pairs of a run of lines, four times the entries of a run of sorted rows
+PAIRS = 1 << 23  # pairs of a run of lines
+PART = 8  # parts of a run that are worked on at a time; entries of a run of sorted rows are one part
 BYTES = 1 << 25  # of one Arrow column handed over
 ROWS = 1 << 17  # of one Arrow batch handed over
 WORDS = 1 << 17  # known words at most
@@ -39,7 +40,8 @@ class Known:
 
     def __init__(self, words: pa.Array, n_lines: np.ndarray, slots: np.ndarray | None = None):
         size = len(words)
-        self.words, self.slots = words, slots
+        self.words, self.n_lines, self.slots = words, n_lines, slots
+        self.others = slots is None or bool(slots.any())  # whether any other word takes part
         x = np.arange(size, dtype=np.int64)
         self.start = x * (2 * size - x - 1) // 2  # number of the first pair of a word with a later one
         self.shift = self.start - x - 1  # from the code of y to the number of the pair
@@ -120,11 +122,12 @@ def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_size(codes: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Lines of equally many words (two or more), each with its codes sorted -> (places of the lines, codes)."""
+    """Lines of equally many words (two or more), a bounded number at a time, each with its codes sorted -> (places of the lines, codes)."""
     begin = np.cumsum(size) - size
     for k in np.unique(size[size > 1]).tolist():
-        at = np.flatnonzero(size == k)
-        yield at, np.sort(codes[begin[at][:, None] + np.arange(k)], axis=1)
+        every, step = np.flatnonzero(size == k), max(1, PAIRS // PART // k ** 2)
+        for at in (every[i:i + step] for i in range(0, len(every), step)):
+            yield at, np.sort(codes[begin[at][:, None] + np.arange(k)], axis=1)
 
 
 def _known_pairs(codes: np.ndarray, size: np.ndarray, known: Known) -> np.ndarray:
@@ -197,25 +200,23 @@ def _send(lists: pa.Array, known: Known) -> Iterator[pa.RecordBatch]:
         size = np.bincount(line, minlength=len(size))
     own = codes < k
     n_own = np.bincount(line[own], minlength=len(size))
-    key, n = _distinct(_known_pairs(codes[own], n_own, known))
-    if len(key):
-        yield from _tile_rows(key, n, known)
-    del key, n
+    yield from _tile_rows(_known_pairs(codes[own], n_own, known), known)
     key, n = _distinct(_other_pairs(codes, size, size - n_own, k, k + len(names)))
     if len(key):
         yield from _word_rows(*np.divmod(key, k + len(names)), n, names, piece, k)
 
 
-def _tile_rows(key: np.ndarray, n: np.ndarray, known: Known) -> Iterator[pa.RecordBatch]:
+def _tile_rows(key: np.ndarray, known: Known) -> Iterator[pa.RecordBatch]:
     cut = np.searchsorted(key, known.edges)
     tile = np.flatnonzero(cut[1:] > cut[:-1])
     cut = np.append(cut[tile], len(key))
-    codes, more = _steps(key, n, cut, known.edges[tile])
-    for a, b in _pieces(np.diff(codes[1]) + np.diff(more[1]), BYTES):
+    for a, b in _pieces(np.diff(cut), PAIRS // PART):
+        first = known.edges[tile[a:b]]
+        found, n = _distinct(key[cut[a]:cut[b]])
+        columns = _steps(found, n, np.append(np.searchsorted(found, first), len(found)), first)
         none = pa.array([b""] * (b - a), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.nulls(b - a, pa.string()), pa.array(tile[a:b].astype(np.int32)), none, none, none,
-                                          *[_binary(data, ends[a:b + 1]) for data, ends in (codes, more)]],
-                                         names=["x", "piece", "y", "size", "n", "codes", "more"])
+                                          *[_binary(*c) for c in columns]], names=["x", "piece", "y", "size", "n", "codes", "more"])
 
 
 def _word_rows(x: np.ndarray, y: np.ndarray, n: np.ndarray, names: pa.Array, piece: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
@@ -245,7 +246,7 @@ def send_pairs(batches: Iterator[pa.RecordBatch], known: Known = NOTHING) -> Ite
         lists = batch.column(0)
         size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         lists, size = lists.filter(pa.array(size > 1)), size[size > 1]
-        for a, b in _pieces(size * (size - 1) // 2, PAIRS // 4):
+        for a, b in _pieces(size * (size - 1) // 2, PAIRS // PART):
             held.append(lists.slice(a, b - a))
             pairs += int((size[a:b] * (size[a:b] - 1) // 2).sum())
             if pairs >= PAIRS:
@@ -280,8 +281,8 @@ def _sums(key: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, np.nd
     return (key[n >= least], n[n >= least]) if least > 1 else (key, n)
 
 
-def _out(heads: pa.Array, head: np.ndarray, partners: pa.Array, partner: np.ndarray, n: np.ndarray, both: bool, swap=None) -> Iterator[pa.RecordBatch]:
-    """Pairs by place in ``heads`` and ``partners`` -> (x, y, n), x the word of smaller bytes; ``swap`` tells where that is the partner."""
+def _out(heads: pa.Array, head: np.ndarray, partners: pa.Array, partner: np.ndarray, n: np.ndarray, both: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs by place in ``heads`` and ``partners`` -> (x, y, n), x the word of smaller bytes, or ``both`` ways."""
     lens = (pc.binary_length(heads).to_numpy(zero_copy_only=False)[head].astype(np.int64)
             + pc.binary_length(partners).to_numpy(zero_copy_only=False)[partner])
     for i in range(0, len(n), ROWS):
@@ -292,7 +293,7 @@ def _out(heads: pa.Array, head: np.ndarray, partners: pa.Array, partner: np.ndar
             if both:
                 yield pa.RecordBatch.from_arrays([two, one, count], names=["x", "y", "n"])
             else:
-                later = pc.less(two, one) if swap is None else pa.array(swap[at])
+                later = pc.less(two, one)
                 one, two = pc.if_else(later, two, one), pc.if_else(later, one, two)
             yield pa.RecordBatch.from_arrays([one, two, count], names=["x", "y", "n"])
 
@@ -308,7 +309,7 @@ class _Tile:
         key, n, held = _entries(rows.column("codes"), rows.column("more"))
         self.held.append((key, n, held))
         self.entries += len(key)
-        if self.entries >= PAIRS // 4:
+        if self.entries >= PAIRS // PART:
             self._sum()
 
     def _sum(self) -> None:
@@ -320,7 +321,7 @@ class _Tile:
                 self.sums[key[a:b]] += n[a:b]
         self.held, self.entries = [], 0
 
-    def pairs(self, least: int, both: bool) -> Iterator[pa.RecordBatch]:
+    def pairs(self, least: int, both: bool, totals: bool) -> Iterator[pa.RecordBatch]:
         if self.sums is not None:
             self._sum()
             key = np.flatnonzero(self.sums >= least)
@@ -337,8 +338,17 @@ class _Tile:
             key, n = key[first], np.add.reduceat(n, first)
             key, n = key[n >= least], n[n >= least]
         x, y = self.known.pair(key + self.known.edges[self.number])
-        order = self.known.order
-        yield from _out(self.known.words, x, self.known.words, y, n, both, None if both else order[y] < order[x])
+        if not both:
+            swap = self.known.order[y] < self.known.order[x]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+        at = 0
+        for b in _out(self.known.words, x, self.known.words, y, n, both):
+            if totals:
+                to = at + b.num_rows
+                for name, c in (("n_x", x), ("n_y", y)):
+                    b = b.append_column(name, pa.array(self.known.n_lines[c[at:to]]))
+                at = to
+            yield b
 
 
 def _merge(rows: pa.Table, least: int, both: bool, known: Known) -> Iterator[pa.RecordBatch]:
@@ -371,26 +381,31 @@ def _weights(rows) -> np.ndarray:
     return length("size") // 4 + length("y") // 16 + length("codes")
 
 
-def merge_pairs(least: int, both: bool, known: Known = NOTHING):
-    """Rows of ``EXCHANGE``, sorted by word and piece, to (x, y, n) of the pairs in ``least`` lines or more; with ``both``, (y, x, n) too."""
+def merge_pairs(least: int, both: bool, known: Known = NOTHING, of: str = "all"):
+    """Rows of ``EXCHANGE``, sorted by word and piece, to (x, y, n) of the pairs in ``least`` lines or more; with ``both``, (y, x, n) too.
+
+    ``of`` "known" takes the pairs of two known words only, once, with the lines of either word: (x, y, n, n_x, n_y); "others" the rest."""
+    totals = of == "known"
+    assert not (both and totals)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, held, entries, most = None, [], 0, PAIRS // 4
+        tile, held, entries, most = None, [], 0, PAIRS // PART
         for batch in batches:
-            for a, b in _pieces(_weights(batch), PAIRS // 4):
+            for a, b in _pieces(_weights(batch), PAIRS // PART):
                 rows = batch.slice(a, b - a)
                 of_tile = rows.column("x").is_null().to_numpy(zero_copy_only=False)
                 if of_tile.any():
-                    own = rows.filter(pa.array(of_tile))
+                    own = rows.filter(pa.array(of_tile)) if of != "others" else rows.slice(0, 0)
                     number = own.column("piece").to_numpy()
-                    cut = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
+                    cut = np.append(np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[:len(number)]), len(number))
                     for i, j in zip(cut[:-1], cut[1:]):
                         if tile is None or tile.number != number[i]:
                             if tile is not None:
-                                yield from tile.pairs(least, both)
+                                yield from tile.pairs(least, both, totals)
                             tile = _Tile(int(number[i]), known)
                         tile.add(own.slice(i, j - i))
                     rows = rows.filter(pa.array(~of_tile))
-                if not rows.num_rows:
+                if not rows.num_rows or totals:
                     continue
                 held.append(rows)
                 entries += int(_weights(rows).sum())
@@ -406,9 +421,9 @@ def merge_pairs(least: int, both: bool, known: Known = NOTHING):
                     rows = rows.slice(keep)
                 rows = rows.combine_chunks()
                 held, entries = rows.to_batches(), int(_weights(rows).sum())
-                most = max(PAIRS // 4, 2 * entries)
+                most = max(PAIRS // PART, 2 * entries)
         if tile is not None:
-            yield from tile.pairs(least, both)
+            yield from tile.pairs(least, both, totals)
         if held:
             yield from _merge(pa.Table.from_batches(held), least, both, known)
     return work

@@ -116,3 +116,15 @@ def test_words_below_the_threshold_are_not_paired(spark, monkeypatch):
     often = {w for w, n in collections.Counter(w for line in data for w in line).items() if n >= 10}
     sent = pa.Table.from_batches(list(P.send_pairs(iter(batches(data, 50)), k)))
     assert len(k.words) == 5 and {x for x in sent["x"].to_pylist() if x is not None} <= often
+
+
+def test_stripes_deal_the_pairs_once(spark):
+    data = lines(300, 13)
+    words = spark.createDataFrame([(w,) for w in data], "words array<string>")
+    plan = C.pmi_stripes(words, 10, min_partners=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Join" not in plan  # sent and merged once; every word's total came with its code
+    count, pairs = collections.Counter(w for line in data for w in line), mirrored(brute(data))
+    often = {p: n for p, n in pairs.items() if n >= 10}
+    degree = collections.Counter(x for x, _ in often)
+    got = {(r.x, r.y): (r.n, round(r.pmi, 9)) for r in C.stripes_long(C.pmi_stripes(words, 10, min_partners=2)).collect()}
+    assert got == {(x, y): (n, round(float(np.log10(n * len(data) / (count[x] * count[y]))), 9)) for (x, y), n in often.items() if degree[x] >= 2}
