@@ -128,3 +128,18 @@ def test_stripes_deal_the_pairs_once(spark):
     degree = collections.Counter(x for x, _ in often)
     got = {(r.x, r.y): (r.n, round(r.pmi, 9)) for r in C.stripes_long(C.pmi_stripes(words, 10, min_partners=2)).collect()}
     assert got == {(x, y): (n, round(float(np.log10(n * len(data) / (count[x] * count[y]))), 9)) for (x, y), n in often.items() if degree[x] >= 2}
+
+
+@pytest.mark.parametrize("size", [0, 20, 1000])
+def test_totals_come_with_known_words(size):
+    data = lines(200, 14)
+    k, count, want = known(data, size), collections.Counter(w for line in data for w in line), brute(data)
+    sent = pa.Table.from_batches(list(P.send_pairs(iter(batches(data, 40)), k))).sort_by([("x", "ascending"), ("piece", "ascending")])
+    own = list(P.merge_pairs(3, False, k, "known")(iter(sent.to_batches(20))))
+    rest = counted(P.merge_pairs(3, False, k, "others")(iter(sent.to_batches(20))))
+    top, found = set(k.words.to_pylist()), {}
+    for b in own:
+        found |= {(r["x"], r["y"]): r["n"] for r in b.to_pylist()}
+        assert all((r["n_x"], r["n_y"]) == (count[r["x"]], count[r["y"]]) for r in b.to_pylist())
+    assert found == {p: n for p, n in want.items() if n >= 3 and top.issuperset(p)}
+    assert rest == {p: n for p, n in want.items() if n >= 3 and not top.issuperset(p)}
