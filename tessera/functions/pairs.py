@@ -19,8 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECES = 4
-PAIRS = 1 << 23  # pairs of a run of lines
-PART = 8  # parts of a run that are worked on at a time; entries of a run of sorted rows are one part
+PAIRS = 1 << 21  # pairs of a run of lines; the known ones among them are held over several runs
+HELD = 4  # runs
+PART = 2  # parts of a run that are worked on at a time; entries of a run of sorted rows are one part
 BYTES = 1 << 25  # of one Arrow column handed over
 ROWS = 1 << 17  # of one Arrow batch handed over
 WORDS = 1 << 17  # known words at most
@@ -88,7 +89,7 @@ def _upto(values: np.ndarray) -> np.ndarray:
 
 def _packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers as bytes of seven bits, all but a number's last marked -> (bytes, where each number begins, and the end)."""
-    size = np.ones(len(values), np.int64)
+    size = np.ones(len(values), np.int8)
     left = values >> 7
     while left.any():
         size += left > 0
@@ -130,16 +131,28 @@ def _by_size(codes: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray,
             yield at, np.sort(codes[begin[at][:, None] + np.arange(k)], axis=1)
 
 
-def _known_pairs(codes: np.ndarray, size: np.ndarray, known: Known) -> np.ndarray:
-    """Numbers of the pairs of known words in each line, sorted."""
-    key, at = np.empty(int((size * (size - 1) // 2).sum()), np.int64), 0
-    for _, lines in _by_size(codes, size):
-        i, j = np.triu_indices(lines.shape[1], 1)
-        out = key[at:at + len(lines) * len(i)].reshape(len(lines), len(i))
-        np.add(known.shift[lines][:, i], lines[:, j], out=out)
-        at += out.size
-    key.sort()
-    return key
+class _Numbers:
+    """Numbers of the pairs of known words, held until there are too many."""
+
+    def __init__(self, known: Known):
+        self.known, self.held, self.used = known, np.empty(HELD * PAIRS, np.int64), 0
+
+    def add(self, codes: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pairs = int((size * (size - 1) // 2).sum())
+        if self.used + pairs > len(self.held):
+            yield from self.rows()
+        if pairs > len(self.held):
+            self.held = np.empty(pairs, np.int64)
+        for _, lines in _by_size(codes, size):
+            i, j = np.triu_indices(lines.shape[1], 1)
+            out = self.held[self.used:self.used + len(lines) * len(i)].reshape(len(lines), len(i))
+            np.add(self.known.shift[lines][:, i], lines[:, j], out=out)
+            self.used += out.size
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        self.held[:self.used].sort()
+        yield from _tile_rows(self.held[:self.used], self.known)
+        self.used = 0
 
 
 def _other_pairs(codes: np.ndarray, size: np.ndarray, others: np.ndarray, known: int, every: int) -> np.ndarray:
@@ -152,7 +165,7 @@ def _other_pairs(codes: np.ndarray, size: np.ndarray, others: np.ndarray, known:
         may = j >= lines.shape[1] - others[at].max()
         a, b = lines[:, i[may]], lines[:, j[may]]
         mine = b >= known
-        found.append((b[mine] - known) * every + a[mine])
+        found.append((b[mine].astype(np.int64) - known) * every + a[mine])
     key = np.concatenate(found)
     key.sort()
     return key
@@ -176,8 +189,8 @@ def _steps(values: np.ndarray, n: np.ndarray, cut: np.ndarray, first: np.ndarray
     return (codes, at[cut]), (more, more_at[_upto(several)[cut]])
 
 
-def _send(lists: pa.Array, known: Known) -> Iterator[pa.RecordBatch]:
-    """The distinct pairs of some lines (each a list of distinct words), as rows of the exchange."""
+def _send(lists: pa.Array, known: Known, numbers: _Numbers) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of some lines (each a list of distinct words), as rows of the exchange; ``numbers`` holds those of known words."""
     flat = pc.dictionary_encode(lists.flatten())
     words, k = flat.dictionary, len(known.words)
     size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -193,14 +206,14 @@ def _send(lists: pa.Array, known: Known) -> Iterator[pa.RecordBatch]:
     ordered = np.lexsort([rank, piece])
     names, piece = words.take(pa.array(other[ordered])), piece[ordered]
     code[other[ordered]] = k + np.arange(len(other))
-    codes = code[flat.indices.to_numpy()]
-    line = np.repeat(np.arange(len(size)), size)
+    codes = code.astype(np.int32)[flat.indices.to_numpy()]
+    line = np.repeat(np.arange(len(size), dtype=np.int32), size)
     if known.slots is not None:
         codes, line = codes[codes >= 0], line[codes >= 0]
         size = np.bincount(line, minlength=len(size))
     own = codes < k
     n_own = np.bincount(line[own], minlength=len(size))
-    yield from _tile_rows(_known_pairs(codes[own], n_own, known), known)
+    yield from numbers.add(codes[own], n_own)
     key, n = _distinct(_other_pairs(codes, size, size - n_own, k, k + len(names)))
     if len(key):
         yield from _word_rows(*np.divmod(key, k + len(names)), n, names, piece, k)
@@ -241,7 +254,7 @@ def _word_rows(x: np.ndarray, y: np.ndarray, n: np.ndarray, names: pa.Array, pie
 
 def send_pairs(batches: Iterator[pa.RecordBatch], known: Known = NOTHING) -> Iterator[pa.RecordBatch]:
     """Lines (a list of distinct words each) to rows of ``EXCHANGE``; pairs are counted over runs of lines first."""
-    held, pairs = [], 0
+    held, pairs, numbers = [], 0, _Numbers(known)
     for batch in batches:
         lists = batch.column(0)
         size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -250,10 +263,11 @@ def send_pairs(batches: Iterator[pa.RecordBatch], known: Known = NOTHING) -> Ite
             held.append(lists.slice(a, b - a))
             pairs += int((size[a:b] * (size[a:b] - 1) // 2).sum())
             if pairs >= PAIRS:
-                yield from _send(pa.concat_arrays(held), known)
+                yield from _send(pa.concat_arrays(held), known, numbers)
                 held, pairs = [], 0
     if held:
-        yield from _send(pa.concat_arrays(held), known)
+        yield from _send(pa.concat_arrays(held), known, numbers)
+    yield from numbers.rows()
 
 
 def _raw(c: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
