@@ -19,9 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECES = 4
-PAIRS = 1 << 21  # pairs of a run of lines; the known ones among them are held over several runs
-HELD = 4  # runs
-PART = 2  # parts of a run that are worked on at a time; entries of a run of sorted rows are one part
+PAIRS = 1 << 22  # pairs of a run of lines; the known ones among them are held over several runs
+HELD = 3  # runs, a little less as they exceed their size
+PART = 4  # parts of a run that are worked on at a time; entries of a run of sorted rows are one part
 BYTES = 1 << 25  # of one Arrow column handed over
 ROWS = 1 << 17  # of one Arrow batch handed over
 WORDS = 1 << 17  # known words at most
